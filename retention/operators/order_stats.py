@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SMALL_GROUP = 1_000_000
 MAX_GROUPS = 10_000
@@ -84,15 +85,15 @@ def exact_quantiles(
         (*key, n, [at[a] + (at[b] - at[a]) * share if share else at[a] for a, b, share in parts])
         for key, n, parts in plan
     ]
-    schema = values.select(*keys).schema.add("n", "long").add("q", "array<double>")
+    schema = values.select(*keys).schema.add("n", T.LongType()).add("q", T.ArrayType(T.DoubleType()))
     return values.sparkSession.createDataFrame(rows, schema)
 
 
 def _values_at_ranks(values, keys, targets, small_group, accuracy) -> dict[int, float]:
     spark = values.sparkSession
     schema = values.select(*keys).schema
-    for name, kind in (("tid", "int"), ("rank", "long"), ("lo", "double"), ("hi", "double")):
-        schema = schema.add(name, kind)
+    for name, kind in (("tid", T.IntegerType), ("rank", T.LongType), ("lo", T.DoubleType), ("hi", T.DoubleType)):
+        schema = schema.add(name, kind())
     done: dict[int, float] = {}
     open_targets = list(targets)
     while open_targets:

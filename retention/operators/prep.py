@@ -8,6 +8,7 @@ model is one narrow projection, so scoring 100 TB adds no shuffle.
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 
 from pyspark import keyword_only
@@ -38,23 +39,32 @@ def numeric_statistics(df: DataFrame, columns: Sequence[str], small_group: int =
     """(feature, median, mean, std): exact median, then moments after imputing with it.
 
     The imputed moments follow in closed form from the non-null ones, so the
-    data is not scanned again after the median is known.
+    data is not scanned again after the median is known. A column without any
+    value is left out.
     """
-    values = long_values(df, columns)
-    medians = exact_quantiles(values, ["feature"], [0.5], small_group).select(
-        "feature", F.col("q")[0].alias("median")
-    )
-    total = df.agg(F.count(F.lit(1)).alias("rows")).scalar()
-    moments = values.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("value").alias("m"), F.var_pop("value").alias("v")
-    )
-    missing = (total - F.col("n")).cast("double")
-    delta = F.col("median") - F.col("m")
-    mean = F.col("m") + delta * missing / total
-    variance = F.col("v") * F.col("n") / total + delta * delta * F.col("n") * missing / total / total
-    return moments.join(medians, "feature").select(
-        "feature", "median", mean.alias("mean"), F.sqrt(variance).alias("std")
-    )
+    values = {c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)) for c in columns}
+    moments = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count(v).alias(f"n{i}") for i, v in enumerate(values.values())],
+        *[F.avg(v).alias(f"mean{i}") for i, v in enumerate(values.values())],
+        *[F.var_pop(v).alias(f"var{i}") for i, v in enumerate(values.values())],
+    ).first()
+    if max(moments[f"n{i}"] for i in range(len(columns))) <= small_group:
+        row = df.agg(*[F.percentile(v, F.lit(0.5)).alias(f"med{i}") for i, v in enumerate(values.values())]).first()
+        medians = {c: row[f"med{i}"] for i, c in enumerate(columns)}
+    else:
+        found = exact_quantiles(long_values(df, columns), ["feature"], [0.5], small_group)
+        medians = {r["feature"]: r["q"][0] for r in found.collect()}
+    rows = []
+    for i, c in enumerate(columns):
+        total, n = moments["rows"], moments[f"n{i}"]
+        if not n:
+            continue
+        mean, variance, median = moments[f"mean{i}"], moments[f"var{i}"], medians[c]
+        missing, delta = total - n, median - mean
+        imputed = variance * n / total + delta * delta * n * missing / total / total
+        rows.append((c, median, mean + delta * missing / total, math.sqrt(imputed)))
+    return df.sparkSession.createDataFrame(rows, "feature string, median double, mean double, std double")
 
 
 def mode_and_categories(counts: DataFrame) -> DataFrame:

@@ -62,12 +62,13 @@ def fit_cuts(
     keyed = df.where(F.col(label).isNotNull()).select(
         F.col(label).alias("label"), F.col(id_column).alias("id"), order_key(id_column, seed).alias("key")
     )
-    wanted: list[tuple[int, int]] = [
-        (c, r) for c, n in sorted(class_counts(df, label).items()) for r in ranks(n) if 0 < r <= n
-    ]
     # (class, prefix) -> [(wanted rank, rows of the class before the prefix)]
-    open_buckets = {(c, ""): [(r, 0) for k, r in wanted if k == c] for c in {c for c, _ in wanted}}
+    open_buckets: dict[tuple[int, str], list[tuple[int, int]]] = {}
     ready: dict[tuple[int, str], list[tuple[int, int]]] = {}
+    for c, n in sorted(class_counts(df, label).items()):
+        targets = [(r, 0) for r in ranks(n) if 0 < r <= n]
+        if targets:
+            (ready if n <= max_bucket_rows else open_buckets)[c, ""] = targets
     length = 0
     while open_buckets:
         length += PREFIX_STEP

@@ -107,21 +107,20 @@ def optimal_thresholds(
 
 def best_over_scores(
     scored: DataFrame,
-    metric: str = "f1",
+    metrics: str | Sequence[str] = "f1",
     keys: Sequence[str] = ("model",),
     score: str = "p",
     label: str = "label",
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
-    """(keys…, threshold, score): best over all distinct scores and 1.0, lowest threshold on a tie.
+    """(keys…, metric, threshold, score): best over all distinct scores and 1.0, lowest threshold on a tie.
 
     Precision and recall at the added 1.0 are those of the curve's end point
-    (1 and 0); an unknown metric falls back to f1.
+    (1 and 0); an unknown metric falls back to f1. All metrics share the counts.
     """
-    if metric not in THRESHOLD_METRICS:
-        metric = "f1"
+    wanted = [metrics] if isinstance(metrics, str) else list(metrics)
+    names = list(dict.fromkeys(m if m in THRESHOLD_METRICS else "f1" for m in wanted))
     steps = running_counts(scored, keys, score, label, rows_per_range)
-    no_pos = F.col("n_pos") == 0
     plain = F.struct(F.col("score").alias("threshold"), F.col("tp"), F.col("fp"), F.lit(0).alias("extra"))
     # p >= 1.0: the counts of the highest score if it reaches 1.0, else nothing.
     reaches = F.col("score") >= 1.0
@@ -140,18 +139,19 @@ def best_over_scores(
         F.col("c.fp").alias("false_positives"),
         (F.col("n_neg") - F.col("c.fp")).alias("true_negatives"),
         (F.col("n_pos") - F.col("c.tp")).alias("false_negatives"),
-        no_pos.alias("no_pos"),
+        (F.col("n_pos") == 0).alias("no_pos"),
     )
-    value = F.col(metric)
-    if metric == "precision":
-        value = F.when(F.col("extra") == 1, 1.0).otherwise(value)
-    elif metric == "recall":
-        value = F.when(F.col("extra") == 1, 0.0).when(F.col("no_pos"), 1.0).otherwise(value)
+    rows = with_rates(rows, names)
+    if "precision" in names:
+        rows = rows.withColumn("precision", F.when(F.col("extra") == 1, 1.0).otherwise(F.col("precision")))
+    if "recall" in names:
+        recall = F.when(F.col("extra") == 1, 0.0).when(F.col("no_pos"), 1.0).otherwise(F.col("recall"))
+        rows = rows.withColumn("recall", recall)
     return (
-        with_rates(rows, [metric])
-        .groupBy(*keys)
-        .agg(F.min(F.struct((-value).alias("minus"), F.col("threshold"), F.col("extra"))).alias("best"))
-        .select(*keys, F.lit(metric).alias("metric"), "best.threshold", (-F.col("best.minus")).alias("score"))
+        rows.unpivot([*keys, "threshold", "extra"], names, "metric", "score")
+        .groupBy(*keys, "metric")
+        .agg(F.min(F.struct((-F.col("score")).alias("minus"), F.col("threshold"), F.col("extra"))).alias("best"))
+        .select(*keys, "metric", "best.threshold", (-F.col("best.minus")).alias("score"))
     )
 
 

@@ -93,7 +93,9 @@ scored AS (
 
 
 def _r(expr: str, digits: int = 6) -> str:
-    return f"round({expr}, {digits}) + CAST(0 AS DOUBLE)"
+    """Rounded half up by the same double operations as on the other side."""
+    scale = 10 ** digits
+    return f"floor(({expr}) * CAST({scale} AS DOUBLE) + CAST(0.5 AS DOUBLE)) / CAST({scale} AS DOUBLE)"
 
 
 def _with(body: str, *ctes: str) -> str:
@@ -452,7 +454,7 @@ def _single_statements() -> dict[str, str]:
             "WHERE t.split = 'test' AND t.feature IN ('Contract', 'PaymentMethod')", PREP),
         # fitted preprocessing
         "median_impute": _split(
-            f"SELECT customerID, split, feature, {_r('v')} AS value FROM imputed", PREP),
+            f"SELECT customerID, split, feature, v AS value FROM imputed", PREP),
         "standard_scale": _split(
             f"SELECT feature, {_r('med')} AS median, {_r('mean')} AS mean, {_r('std')} AS std FROM moments JOIN medians USING (feature)", PREP),
         "mode_impute": _split("SELECT customerID, split, feature, v AS value FROM filled", PREP),

@@ -28,10 +28,16 @@ MODELS = list(SCORERS)
 OPTIMAL = [f"{m}_optimal" for m in MODELS]
 
 
+def round_half_up(c, digits: int):
+    """Plain double operations, so that another engine can repeat them to the bit."""
+    scale = float(10 ** digits)
+    return F.floor(c * scale + 0.5) / F.lit(scale)
+
+
 def rounded(df: DataFrame, digits: int = 6, but: Sequence[str] = ()) -> DataFrame:
-    """Every double column rounded, -0.0 as 0.0; the columns in ``but`` are left alone."""
+    """Every double column rounded; the columns in ``but`` are left alone."""
     return df.select(*[
-        (F.round(F.col(f"`{f.name}`"), digits) + F.lit(0.0)).alias(f.name)
+        round_half_up(F.col(f"`{f.name}`"), digits).alias(f.name)
         if isinstance(f.dataType, T.DoubleType) and f.name not in but else F.col(f"`{f.name}`")
         for f in df.schema.fields
     ])
@@ -40,7 +46,7 @@ def rounded(df: DataFrame, digits: int = 6, but: Sequence[str] = ()) -> DataFram
 def _ranked(df: DataFrame, *nine: str) -> DataFrame:
     """Round the named ranking metrics to nine digits, the rest to six."""
     for c in nine:
-        df = df.withColumn(c, F.round(c, 9) + F.lit(0.0))
+        df = df.withColumn(c, round_half_up(F.col(c), 9))
     return rounded(df, 6, but=nine)
 
 
@@ -49,17 +55,26 @@ def cleaned(spark, d):
     return cl.clean(customer_profile(spark, d))
 
 
+def written(spark, d):
+    """The cleaned table written once, for queries that read it several times."""
+    return stage(cleaned(spark, d), "cleaned")
+
+
 def split(spark, d):
-    return sa.stratified_split(cleaned(spark, d))
+    return sa.stratified_split(written(spark, d))
 
 
 def scored(spark, d):
     return scored_profile(customer_profile(spark, d))
 
 
+def scored_written(spark, d):
+    return stage(scored(spark, d), "scored")
+
+
 def fold_scored(spark, d):
-    folds = sa.stratified_folds(cleaned(spark, d)).select(ID_COLUMN, "fold")
-    return scored(spark, d).join(folds, ID_COLUMN)
+    """Scored rows with their fold: the scores are a narrow function of the row, so no join."""
+    return scored_profile(sa.stratified_folds(written(spark, d)), ["fold"])
 
 
 def vectors(spark, d, *keep):
@@ -169,7 +184,7 @@ def median_impute(spark, d):
     filled = table.select(
         ID_COLUMN, "split", *[F.coalesce(F.col(c).cast("double"), F.lit(by_name[c])).alias(c) for c in NUMERICAL_FEATURES]
     )
-    return rounded(filled.unpivot([ID_COLUMN, "split"], NUMERICAL_FEATURES, "feature", "value"))
+    return filled.unpivot([ID_COLUMN, "split"], NUMERICAL_FEATURES, "feature", "value")
 
 
 def standard_scale(spark, d):
@@ -282,7 +297,7 @@ def optimal_predictions(spark, d):
 
 
 def by_encoded_segment(spark, d):
-    rows = scored(spark, d)
+    rows = scored_written(spark, d)
     fitted = prep.Preprocessor(categorical=["Contract"], numerical=[]).fit(rows)
     return _ranked(
         me.segment_metrics(rows, "Contract", baseline=fitted.categories["Contract"][0]), "auc", "average_precision"
@@ -290,9 +305,8 @@ def by_encoded_segment(spark, d):
 
 
 def best_over_scores(spark, d):
-    rows = scored(spark, d)
     metrics = ["f1", "precision", "recall", "balanced_accuracy"]
-    return rounded(reduce(DataFrame.unionByName, [th.best_over_scores(rows, m) for m in metrics]), but=["threshold"])
+    return rounded(th.best_over_scores(scored_written(spark, d), metrics), but=["threshold"])
 
 
 def cross_validated(spark, d):
@@ -351,14 +365,14 @@ def _row_counts(spark, tables, folder):
 
 def eda_job(spark, d):
     """Rows per exploratory table that the job wrote."""
-    table = stage(cleaned(spark, d), "cleaned")
+    table = written(spark, d)
     return _row_counts(spark, eda.eda_tables(table), new_path(spark, "eda"))
 
 
 def report_job(spark, d):
     """Rows per model table that the job wrote."""
-    rows = stage(scored(spark, d), "scored")
-    summary = cv.cv_summary(cv.fold_metrics(stage(fold_scored(spark, d), "folds")))
+    rows = scored_written(spark, d)
+    summary = cv.cv_summary(cv.fold_metrics(fold_scored(spark, d)))
     return _row_counts(spark, jobs.report_tables(rows, me.model_metrics(rows), summary), new_path(spark, "report"))
 
 
@@ -394,7 +408,7 @@ def queries() -> dict[str, Query]:
         "drop_non_features": lambda s, d: cl.drop_non_features(cleaned(s, d)),
         "select_features": lambda s, d: cl.select_existing(cleaned(s, d), SELECTED_FEATURES),
         "stratified_split": lambda s, d: split(s, d).select(ID_COLUMN, LABEL, "split"),
-        "stratified_folds": lambda s, d: sa.stratified_folds(cleaned(s, d)).select(ID_COLUMN, LABEL, "fold"),
+        "stratified_folds": lambda s, d: sa.stratified_folds(written(s, d)).select(ID_COLUMN, LABEL, "fold"),
         "append_rows": lambda s, d: (lambda t: sa.append_rows(
             t.where(F.col("split") == "train").drop("split"), t.where(F.col("split") == "test").drop("split")
         ))(split(s, d).select(ID_COLUMN, "tenure", LABEL, "split")),
@@ -442,20 +456,20 @@ def queries() -> dict[str, Query]:
             ID_COLUMN, "model", th.predict_at(F.col("p"), F.lit(0.35)).alias("prediction")),
         "optimal_predictions": optimal_predictions,
         "prediction_table": prediction_table,
-        "full_metrics": lambda s, d: _ranked(me.full_metrics(scored(s, d)), "auc", "average_precision"),
-        "model_metrics": lambda s, d: _ranked(me.model_metrics(scored(s, d)), "auc"),
+        "full_metrics": lambda s, d: _ranked(me.full_metrics(scored_written(s, d)), "auc", "average_precision"),
+        "model_metrics": lambda s, d: _ranked(me.model_metrics(scored_written(s, d)), "auc"),
         "confusion_matrix": lambda s, d: me.confusion_counts(scored(s, d), ["model"]),
         "classification_report": six(lambda s, d: me.classification_report(scored(s, d))),
         "metrics_by_segment": lambda s, d: _ranked(
-            me.segment_metrics(scored(s, d), "Contract"), "auc", "average_precision"),
+            me.segment_metrics(scored_written(s, d), "Contract"), "auc", "average_precision"),
         "metrics_by_encoded_segment": by_encoded_segment,
-        "roc_auc": lambda s, d: rounded(curves.ranking_metrics(scored(s, d), ["model"]).select("model", "auc"), 9),
+        "roc_auc": lambda s, d: rounded(curves.ranking_metrics(scored_written(s, d), ["model"]).select("model", "auc"), 9),
         "average_precision": lambda s, d: rounded(
-            curves.ranking_metrics(scored(s, d), ["model"]).select("model", "average_precision"), 9),
-        "roc_curve": lambda s, d: rounded(curves.roc_curve(scored(s, d), ["model"]), 9, but=["threshold"]),
-        "pr_curve": lambda s, d: rounded(curves.pr_curve(scored(s, d), ["model"]), 9, but=["threshold"]),
-        "pr_summary": lambda s, d: rounded(curves.pr_summary(scored(s, d), ["model"]), 9),
-        "model_comparison": six(lambda s, d: me.comparison_table(me.model_metrics(scored(s, d)))),
+            curves.ranking_metrics(scored_written(s, d), ["model"]).select("model", "average_precision"), 9),
+        "roc_curve": lambda s, d: rounded(curves.roc_curve(scored_written(s, d), ["model"]), 9, but=["threshold"]),
+        "pr_curve": lambda s, d: rounded(curves.pr_curve(scored_written(s, d), ["model"]), 9, but=["threshold"]),
+        "pr_summary": lambda s, d: rounded(curves.pr_summary(scored_written(s, d), ["model"]), 9),
+        "model_comparison": six(lambda s, d: me.comparison_table(me.model_metrics(scored_written(s, d)))),
         "cross_validate": cross_validated,
         "fold_metrics": six(lambda s, d: cv.fold_metrics(fold_scored(s, d))),
         "cv_summary": six(lambda s, d: cv.cv_summary(cv.fold_metrics(fold_scored(s, d)))),
@@ -476,11 +490,11 @@ def queries() -> dict[str, Query]:
         "ensemble_importance": ensemble_importance,
         "tree_nodes": tree_nodes,
         "target_distribution": lambda s, d: eda.target_distribution(cleaned(s, d)),
-        "category_by_target": six(lambda s, d: eda.category_by_target(cleaned(s, d))),
-        "box_statistics": six(lambda s, d: eda.box_statistics(cleaned(s, d))),
-        "box_outliers": six(lambda s, d: eda.box_outliers(cleaned(s, d))),
-        "density": lambda s, d: _ranked(eda.density(cleaned(s, d)), "density"),
-        "correlation_matrix": six(lambda s, d: eda.correlation_matrix(cleaned(s, d))),
+        "category_by_target": six(lambda s, d: eda.category_by_target(written(s, d))),
+        "box_statistics": six(lambda s, d: eda.box_statistics(written(s, d))),
+        "box_outliers": six(lambda s, d: eda.box_outliers(written(s, d))),
+        "density": lambda s, d: _ranked(eda.density(written(s, d)), "density"),
+        "correlation_matrix": six(lambda s, d: eda.correlation_matrix(written(s, d))),
         "tenure_histogram": six(lambda s, d: eda.tenure_histogram(cleaned(s, d))),
         "churn_by_tenure": six(lambda s, d: eda.churn_by_tenure(cleaned(s, d))),
         "churn_by_service": six(lambda s, d: eda.churn_by_service(cleaned(s, d))),

@@ -7,6 +7,8 @@ arrives as one partial row per task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,8 +94,8 @@ def customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def scored_profile(profile: DataFrame) -> DataFrame:
-    """(customerID, Contract, model, label, p, prediction): three scorers per customer.
+def scored_profile(profile: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """(customerID, Contract, keep…, model, label, p, prediction): three scorers per customer.
 
     The scores depend on id and label only, so evaluation needs no training.
     """
@@ -107,10 +109,11 @@ def scored_profile(profile: DataFrame) -> DataFrame:
         for name, k in SCORERS.items()
     ])
     return (
-        profile.select("customerID", "Contract", label.alias("label"), F.explode(scores).alias("s"))
+        profile.select("customerID", "Contract", *keep, label.alias("label"), F.explode(scores).alias("s"))
         .select(
             "customerID",
             "Contract",
+            *keep,
             "s.model",
             "label",
             "s.p",
