@@ -10,7 +10,7 @@ from pyspark.ml import Estimator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import CV_FOLDS, CV_METRICS, LABEL, SEED
+from ..config import CV_FOLDS, CV_METRICS, ID_COLUMN, LABEL, SEED
 from ..sources.staging import stage
 from .metrics import full_metrics
 from .prep import Preprocessor
@@ -29,6 +29,7 @@ def fold_scores(
     seed: int = SEED,
     train_scores: bool = False,
     threads: int = 3,
+    fold_threads: int = 2,
 ) -> DataFrame:
     """Scored rows of every hold-out fold: (customerID, fold, part, model, label, p, prediction).
 
@@ -36,25 +37,29 @@ def fold_scores(
     fold's own lr, dt and rf, which are fitted once. A model that fails in any
     fold is logged and left out.
     """
-    folded = stage(stratified_folds(df, k, seed, label=label), "folds")
-    parts, failed = [], set()
-    for f in range(k):
+    folded = stage(stratified_folds(df, k, seed, label=label), "folds", partition_by="fold")
+    failed: set[str] = set()
+
+    def one_fold(f: int) -> DataFrame | None:
         prep = (preprocessor or Preprocessor()).fit(folded.where(F.col("fold") != f))
-        encoded = stage(prep.transform(folded).select("customerID", "fold", label, "features"), "fold")
-        train = encoded.where(F.col("fold") != f)
-        fitted = _fit_models(models, train, label, threads, failed)
+        encoded = stage(
+            prep.transform(folded).select(ID_COLUMN, "fold", label, "features"), "fold", partition_by="fold"
+        )
+        fitted = _fit_models(models, encoded.where(F.col("fold") != f), threads, failed)
         if not fitted:
-            continue
+            return None
         part = F.when(F.col("fold") == f, "test").otherwise("train")
         rows = encoded if train_scores else encoded.where(F.col("fold") == f)
         rows = rows.withColumn("part", part).withColumn("fold", F.lit(f))
-        parts.append(stage(score(rows, fitted, label), "scores"))
+        return stage(score(rows, fitted, label), "scores")
+
+    parts = [p for p in run_parallel([lambda f=f: one_fold(f) for f in range(k)], fold_threads) if p is not None]
     if not parts:
         raise ValueError("no model could be fitted")
     return reduce(DataFrame.unionByName, parts).where(~F.col("model").isin(sorted(failed)))
 
 
-def _fit_models(models, train, label, threads, failed) -> dict:
+def _fit_models(models, train, threads, failed) -> dict:
     def attempt(name, estimator):
         try:
             return estimator.fit(train)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,9 +30,9 @@ def confusion_counts(scored: DataFrame, keys: Sequence[str], label="label", pred
     return scored.groupBy(*keys).agg(*confusion_sums(label, prediction))
 
 
-def rates() -> dict[str, Column]:
-    """Metrics from the four counts; 0 on an empty denominator."""
-    tn, fp, fn, tp = (F.col(c) for c in CONFUSION)
+def rates(counts: Mapping[str, Column] | None = None) -> dict[str, Column]:
+    """Metrics from the four counts (columns of that name unless given); 0 on an empty denominator."""
+    tn, fp, fn, tp = (counts[c] if counts else F.col(c) for c in CONFUSION)
     specificity, recall = safe_ratio(tn, tn + fp), safe_ratio(tp, tp + fn)
     return {
         "accuracy": safe_ratio(tp + tn, tn + fp + fn + tp),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..config import MATRIX_THRESHOLDS, THRESHOLD_METRICS, THRESHOLDS
 from ..sources.staging import broadcast_if_small
 from .curves import ROWS_PER_RANGE, running_counts
-from .metrics import CONFUSION, with_rates
+from .metrics import CONFUSION, rates, with_rates
 
 SWEEP_METRICS = ["precision", "recall", "f1", "specificity", "balanced_accuracy"]
 
@@ -121,37 +121,38 @@ def best_over_scores(
     wanted = [metrics] if isinstance(metrics, str) else list(metrics)
     names = list(dict.fromkeys(m if m in THRESHOLD_METRICS else "f1" for m in wanted))
     steps = running_counts(scored, keys, score, label, rows_per_range)
-    plain = F.struct(F.col("score").alias("threshold"), F.col("tp"), F.col("fp"), F.lit(0).alias("extra"))
+
+    def confusion(tp, fp):
+        return {
+            "true_positives": tp,
+            "false_positives": fp,
+            "true_negatives": F.col("n_neg") - fp,
+            "false_negatives": F.col("n_pos") - tp,
+        }
+
+    def candidate(value, threshold, extra):
+        return F.struct((-value).alias("minus"), threshold.alias("threshold"), F.lit(extra).alias("extra"))
+
+    rows = with_rates(steps.withColumns(confusion(F.col("tp"), F.col("fp"))), names)
+    if "recall" in names:
+        rows = rows.withColumn("recall", F.when(F.col("n_pos") == 0, 1.0).otherwise(F.col("recall")))
+    plain = {n: candidate(F.col(n), F.col("score"), 0) for n in names}
     # p >= 1.0: the counts of the highest score if it reaches 1.0, else nothing.
     reaches = F.col("score") >= 1.0
-    added = F.struct(
-        F.lit(1.0).alias("threshold"),
-        F.when(reaches, F.col("tp")).otherwise(F.lit(0)).alias("tp"),
-        F.when(reaches, F.col("fp")).otherwise(F.lit(0)).alias("fp"),
-        F.lit(1).alias("extra"),
-    )
-    candidates = F.when(F.col("is_first"), F.array(plain, added)).otherwise(F.array(plain))
-    rows = steps.select(*keys, "n_pos", "n_neg", F.explode(candidates).alias("c")).select(
-        *keys,
-        "c.threshold",
-        "c.extra",
-        F.col("c.tp").alias("true_positives"),
-        F.col("c.fp").alias("false_positives"),
-        (F.col("n_neg") - F.col("c.fp")).alias("true_negatives"),
-        (F.col("n_pos") - F.col("c.tp")).alias("false_negatives"),
-        (F.col("n_pos") == 0).alias("no_pos"),
-    )
-    rows = with_rates(rows, names)
-    if "precision" in names:
-        rows = rows.withColumn("precision", F.when(F.col("extra") == 1, 1.0).otherwise(F.col("precision")))
-    if "recall" in names:
-        recall = F.when(F.col("extra") == 1, 0.0).when(F.col("no_pos"), 1.0).otherwise(F.col("recall"))
-        rows = rows.withColumn("recall", recall)
-    return (
-        rows.unpivot([*keys, "threshold", "extra"], names, "metric", "score")
-        .groupBy(*keys, "metric")
-        .agg(F.min(F.struct((-F.col("score")).alias("minus"), F.col("threshold"), F.col("extra"))).alias("best"))
-        .select(*keys, "metric", "best.threshold", (-F.col("best.minus")).alias("score"))
+    at_one = {k: F.when(reaches, F.col(k)).otherwise(F.lit(0)) for k in ("tp", "fp")}
+    extra = rates(confusion(at_one["tp"], at_one["fp"]))
+    extra.update({"precision": F.lit(1.0), "recall": F.lit(0.0)})
+    # Without unpivoting first, the order of the running counts serves the
+    # aggregation as it is: no further sort.
+    best = rows.groupBy(*keys).agg(*[
+        F.least(
+            F.min(plain[n]),
+            F.min(F.when(F.col("is_first"), candidate(extra[n], F.lit(1.0), 1))),
+        ).alias(n)
+        for n in names
+    ])
+    return best.unpivot(list(keys), names, "metric", "best").select(
+        *keys, "metric", "best.threshold", (-F.col("best.minus")).alias("score")
     )
 
 

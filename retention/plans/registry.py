@@ -113,7 +113,7 @@ def read_split_table(spark, d):
 
 
 def prediction_table(spark, d):
-    rows = scored(spark, d)
+    rows = scored_written(spark, d)
     optimal = th.with_optimal_predictions(rows, th.optimal_thresholds(rows))
     return th.prediction_table(rows.unionByName(optimal), MODELS + OPTIMAL)
 
@@ -265,7 +265,7 @@ def soft_vote(spark, d):
 
 
 def boosting_reweight(spark, d):
-    rows = scored(spark, d).where(F.col("model") == "m1")
+    rows = scored_written(spark, d).where(F.col("model") == "m1")
     n = rows.agg(F.count(F.lit(1))).scalar()
     raised = boosting.reweight(rows.withColumn("weight", F.lit(1.0) / n))
     return rounded(raised.select(ID_COLUMN, "label", "weight"), 12)
@@ -292,7 +292,7 @@ def tuned(search, grid) -> Query:
 
 # --- scoring and evaluation -------------------------------------------------------
 def optimal_predictions(spark, d):
-    rows = scored(spark, d)
+    rows = scored_written(spark, d)
     return th.with_optimal_predictions(rows, th.optimal_thresholds(rows))
 
 
@@ -489,13 +489,13 @@ def queries() -> dict[str, Query]:
         "tree_importance": tree_importance,
         "ensemble_importance": ensemble_importance,
         "tree_nodes": tree_nodes,
-        "target_distribution": lambda s, d: eda.target_distribution(cleaned(s, d)),
+        "target_distribution": lambda s, d: eda.target_distribution(written(s, d)),
         "category_by_target": six(lambda s, d: eda.category_by_target(written(s, d))),
         "box_statistics": six(lambda s, d: eda.box_statistics(written(s, d))),
         "box_outliers": six(lambda s, d: eda.box_outliers(written(s, d))),
         "density": lambda s, d: _ranked(eda.density(written(s, d)), "density"),
         "correlation_matrix": six(lambda s, d: eda.correlation_matrix(written(s, d))),
-        "tenure_histogram": six(lambda s, d: eda.tenure_histogram(cleaned(s, d))),
+        "tenure_histogram": six(lambda s, d: eda.tenure_histogram(written(s, d))),
         "churn_by_tenure": six(lambda s, d: eda.churn_by_tenure(cleaned(s, d))),
         "churn_by_service": six(lambda s, d: eda.churn_by_service(cleaned(s, d))),
         "churn_by_service_long": six(lambda s, d: eda.service_long(eda.churn_by_service(cleaned(s, d)))),
