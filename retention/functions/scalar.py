@@ -27,19 +27,13 @@ def safe_ratio(num: Column, den: Column) -> Column:
     return F.when(den != 0, num.cast("double") / den.cast("double")).otherwise(F.lit(0.0))
 
 
-def right_closed_bin(c: Column, bins: Sequence[tuple[float, float, str]]) -> Column:
-    """Label of the bin (low, high] that holds ``c``; null outside all bins."""
-    expr = None
-    for low, high, label in bins:
-        cond = (c > F.lit(low)) & (c <= F.lit(high))
-        expr = F.when(cond, label) if expr is None else expr.when(cond, label)
-    return expr
+def right_closed_bin(column: str, bins: Sequence[tuple[float, float, str]]) -> Column:
+    """Label of the bin (low, high] that holds the column; null outside all bins."""
+    cases = " ".join(f"WHEN `{column}` > {low} AND `{column}` <= {high} THEN '{label}'" for low, high, label in bins)
+    return F.expr(f"CASE {cases} END")
 
 
-def bin_ordinal(c: Column, bins: Sequence[tuple[float, float, str]]) -> Column:
-    """Position of the bin that holds ``c``, null outside all bins."""
-    return right_closed_bin(c, [(lo, hi, str(i)) for i, (lo, hi, _) in enumerate(bins)]).cast("int")
-
-
-def as_text(c: Column) -> Column:
-    return c.cast("string")
+def bin_ordinal(column: str, bins: Sequence[tuple[float, float, str]]) -> Column:
+    """Position of the bin that holds the column, null outside all bins."""
+    cases = " ".join(f"WHEN `{column}` > {low} AND `{column}` <= {high} THEN {i}" for i, (low, high, _) in enumerate(bins))
+    return F.expr(f"CASE {cases} END")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CATEGORICAL_FEATURES, ID_COLUMN, NUMERICAL_FEATURES, SERVICE_COLUMNS, TARGET, TENURE_BINS
-from ..functions.scalar import is_yes, right_closed_bin
+from ..functions.scalar import bin_ordinal, is_yes
 from ..sources.staging import broadcast_if_small, stage
 from .features import text_columns
 from .order_stats import SMALL_GROUP, exact_quantiles, long_values
@@ -302,9 +302,8 @@ def tenure_histogram(
 
 def churn_by_tenure(df: DataFrame, tenure: str = "tenure", target: str = TARGET) -> DataFrame:
     """(position, tenure_group, customers, churn_rate) for all six groups; rate 0 in an empty one."""
-    bins = [(lo, hi, str(i)) for i, (lo, hi, _) in enumerate(TENURE_BINS)]
     rates = (
-        df.select(right_closed_bin(F.col(tenure), bins).cast("int").alias("position"), is_yes(F.col(target)).alias("yes"))
+        df.select(bin_ordinal(tenure, TENURE_BINS).alias("position"), is_yes(F.col(target)).alias("yes"))
         .where(F.col("position").isNotNull())
         .groupBy("position")
         .agg(

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import SELECTED_FEATURES, SERVICE_COLUMNS, SERVICE_COUNT_BINS, TENURE_BINS
-from ..functions.scalar import bin_ordinal, is_yes, right_closed_bin
+from ..functions.scalar import bin_ordinal, right_closed_bin
 from ..sources.staging import BROADCAST_ROWS
 from .clean import select_existing
 
@@ -23,15 +22,13 @@ def text_columns(df: DataFrame) -> list[str]:
 
 def fixed_domain_dummies(df: DataFrame, column: str, labels: Iterable[str], prefix: str) -> DataFrame:
     """One boolean per label of a known domain; all false for a null value."""
-    return df.withColumns(
-        {f"{prefix}_{label}": F.col(column).eqNullSafe(F.lit(label)) for label in labels}
-    )
+    return df.withColumns({f"{prefix}_{label}": F.col(column).eqNullSafe(label) for label in labels})
 
 
 def add_tenure_groups(df: DataFrame, column: str = "tenure") -> DataFrame:
     grouped = df.withColumns({
-        "tenure_group": right_closed_bin(F.col(column), TENURE_BINS),
-        "tenure_group_ordinal": bin_ordinal(F.col(column), TENURE_BINS),
+        "tenure_group": right_closed_bin(column, TENURE_BINS),
+        "tenure_group_ordinal": bin_ordinal(column, TENURE_BINS),
     })
     return fixed_domain_dummies(grouped, "tenure_group", [b[2] for b in TENURE_BINS], "tenure_group")
 
@@ -40,21 +37,20 @@ def add_service_count(df: DataFrame, service_columns: Sequence[str] | None = Non
     """Number of services: 'Yes' in a text column counts 1, a numeric column counts its value."""
     wanted = SERVICE_COLUMNS if service_columns is None else service_columns
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    terms = []
+    terms = ["0"]
     for name in wanted:
         if name not in kinds:
             continue
-        c = F.col(name)
         if isinstance(kinds[name], TEXT_TYPES):
-            terms.append(is_yes(c).cast("int"))
+            terms.append(f"CAST(`{name}` <=> 'Yes' AS INT)")
         elif isinstance(kinds[name], T.BooleanType):
-            terms.append(c.cast("int"))
+            terms.append(f"CAST(`{name}` AS INT)")
         else:
-            terms.append(c)
-    counted = df.withColumn("service_count", reduce(lambda a, b: a + b, terms, F.lit(0)))
+            terms.append(f"`{name}`")
+    counted = df.withColumn("service_count", F.expr(" + ".join(terms)))
     grouped = counted.withColumns({
-        "service_count_group": right_closed_bin(F.col("service_count"), SERVICE_COUNT_BINS),
-        "service_count_group_ordinal": bin_ordinal(F.col("service_count"), SERVICE_COUNT_BINS),
+        "service_count_group": right_closed_bin("service_count", SERVICE_COUNT_BINS),
+        "service_count_group_ordinal": bin_ordinal("service_count", SERVICE_COUNT_BINS),
     })
     return fixed_domain_dummies(
         grouped, "service_count_group", [b[2] for b in SERVICE_COUNT_BINS], "service_count"

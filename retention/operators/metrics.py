@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,12 +17,10 @@ BASE_METRICS = ["accuracy", "precision", "recall", "f1"]
 
 def confusion_sums(label: str = "label", prediction: str = "prediction") -> list[Column]:
     """The four counts as aggregates. They are always four, also with one class only."""
-    y, yhat = F.col(label) == 1, F.col(prediction) == 1
+    cells = zip(CONFUSION, ((0, 0), (0, 1), (1, 0), (1, 1)))
     return [
-        F.count(F.when(~y & ~yhat, 1)).alias("true_negatives"),
-        F.count(F.when(~y & yhat, 1)).alias("false_positives"),
-        F.count(F.when(y & ~yhat, 1)).alias("false_negatives"),
-        F.count(F.when(y & yhat, 1)).alias("true_positives"),
+        F.expr(f"count(CASE WHEN (`{label}` = 1) = {y == 1} AND (`{prediction}` = 1) = {p == 1} THEN 1 END) AS {name}")
+        for name, (y, p) in cells
     ]
 
 
@@ -30,24 +28,29 @@ def confusion_counts(scored: DataFrame, keys: Sequence[str], label="label", pred
     return scored.groupBy(*keys).agg(*confusion_sums(label, prediction))
 
 
-def rates(counts: Mapping[str, Column] | None = None) -> dict[str, Column]:
-    """Metrics from the four counts (columns of that name unless given); 0 on an empty denominator."""
-    tn, fp, fn, tp = (counts[c] if counts else F.col(c) for c in CONFUSION)
-    specificity, recall = safe_ratio(tn, tn + fp), safe_ratio(tp, tp + fn)
+def ratio(num: str, den: str) -> str:
+    """SQL text of num / den as doubles, 0 on an empty denominator."""
+    return f"(CASE WHEN ({den}) <> 0 THEN CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) ELSE 0.0D END)"
+
+
+def rate_texts(counts: Sequence[str] = tuple(CONFUSION)) -> dict[str, str]:
+    """SQL text of each metric over the four counts, which may be any expressions."""
+    tn, fp, fn, tp = (f"({c})" for c in counts)
+    specificity, recall = ratio(tn, f"({tn} + {fp})"), ratio(tp, f"({tp} + {fn})")
     return {
-        "accuracy": safe_ratio(tp + tn, tn + fp + fn + tp),
-        "precision": safe_ratio(tp, tp + fp),
+        "accuracy": ratio(f"({tp} + {tn})", f"({tn} + {fp} + {fn} + {tp})"),
+        "precision": ratio(tp, f"({tp} + {fp})"),
         "recall": recall,
-        "f1": safe_ratio(2 * tp, 2 * tp + fp + fn),
+        "f1": ratio(f"(2 * {tp})", f"(2 * {tp} + {fp} + {fn})"),
         "specificity": specificity,
         "sensitivity": recall,
-        "balanced_accuracy": (specificity + recall) / F.lit(2.0),
+        "balanced_accuracy": f"({specificity} + {recall}) / 2.0D",
     }
 
 
 def with_rates(counts: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
-    every = rates()
-    return counts.withColumns({n: every[n] for n in (names or every)})
+    every = rate_texts()
+    return counts.withColumns({n: F.expr(every[n]) for n in (names or every)})
 
 
 def full_metrics(

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
@@ -142,34 +143,34 @@ class PreprocessorModel(Model, DefaultParamsReadable, DefaultParamsWritable):
             f"{c['name']}_{v}" for c in s["categorical"] for v in c["categories"][1:]
         ]
 
-    def encoded_columns(self) -> dict[str, F.Column]:
-        """Output name -> expression over the raw columns, in feature order."""
+    def encoded_columns(self) -> dict[str, str]:
+        """Output name -> SQL text over the raw columns, in feature order."""
         s = self.statistics
         out = {}
         for n in s["numeric"]:
-            x = F.col(f"`{n['name']}`").cast("double")
-            filled = F.when(x.isNull() | F.isnan(x), F.lit(float(n["median"]))).otherwise(x)
-            out[n["name"]] = (filled - F.lit(float(n["mean"]))) / F.lit(float(n["std"]))
+            x = f"CAST(`{n['name']}` AS DOUBLE)"
+            filled = f"coalesce(nanvl({x}, NULL), {n['median']!r}D)"
+            out[n["name"]] = f"({filled} - {n['mean']!r}D) / {n['std']!r}D"
         for c in s["categorical"]:
             # An unseen value equals no category and gets the code of the baseline.
-            value = F.coalesce(F.col(f"`{c['name']}`").cast("string"), F.lit(c["mode"]))
+            value = f"coalesce(CAST(`{c['name']}` AS STRING), {sql_text(c['mode'])})"
             for v in c["categories"][1:]:
-                out[f"{c['name']}_{v}"] = F.when(value == v, 1.0).otherwise(0.0)
+                out[f"{c['name']}_{v}"] = f"CAST({value} = {sql_text(v)} AS DOUBLE)"
         return out
 
     def encode(self, dataset: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """``keep`` and the encoded columns only."""
-        return dataset.select(*keep, *[e.alias(n) for n, e in self.encoded_columns().items()])
+        return dataset.select(*keep, *[F.expr(e).alias(n) for n, e in self.encoded_columns().items()])
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         """Add ``features``: the encoded columns as one vector. Raw columns stay."""
-        return add_vector(dataset, list(self.encoded_columns().values()))
+        values = F.expr(f"array({', '.join(self.encoded_columns().values())})")
+        return dataset.withColumn("features", array_to_vector(values))
 
 
-def add_vector(dataset: DataFrame, columns: Sequence, output: str = "features") -> DataFrame:
-    from pyspark.ml.functions import array_to_vector
-
-    return dataset.withColumn(output, array_to_vector(F.array(*columns)))
+def sql_text(value: str) -> str:
+    """A string literal of Spark SQL."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def fitted_statistics(model: PreprocessorModel, spark) -> DataFrame:

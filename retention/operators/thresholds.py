@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..config import MATRIX_THRESHOLDS, THRESHOLD_METRICS, THRESHOLDS
 from ..sources.staging import broadcast_if_small
 from .curves import ROWS_PER_RANGE, running_counts
-from .metrics import CONFUSION, rates, with_rates
+from .metrics import CONFUSION, rate_texts, with_rates
 
 SWEEP_METRICS = ["precision", "recall", "f1", "specificity", "balanced_accuracy"]
 
@@ -122,32 +122,24 @@ def best_over_scores(
     names = list(dict.fromkeys(m if m in THRESHOLD_METRICS else "f1" for m in wanted))
     steps = running_counts(scored, keys, score, label, rows_per_range)
 
-    def confusion(tp, fp):
-        return {
-            "true_positives": tp,
-            "false_positives": fp,
-            "true_negatives": F.col("n_neg") - fp,
-            "false_negatives": F.col("n_pos") - tp,
-        }
+    def confusion(tp: str, fp: str) -> list[str]:
+        return [f"n_neg - {fp}", fp, f"n_pos - {tp}", tp]
 
     def candidate(value, threshold, extra):
         return F.struct((-value).alias("minus"), threshold.alias("threshold"), F.lit(extra).alias("extra"))
 
-    rows = with_rates(steps.withColumns(confusion(F.col("tp"), F.col("fp"))), names)
-    if "recall" in names:
-        rows = rows.withColumn("recall", F.when(F.col("n_pos") == 0, 1.0).otherwise(F.col("recall")))
-    plain = {n: candidate(F.col(n), F.col("score"), 0) for n in names}
+    every = rate_texts(confusion("tp", "fp"))
+    every["recall"] = f"CASE WHEN n_pos = 0 THEN 1.0D ELSE {every['recall']} END"
+    plain = {n: candidate(F.expr(every[n]), F.col("score"), 0) for n in names}
     # p >= 1.0: the counts of the highest score if it reaches 1.0, else nothing.
-    reaches = F.col("score") >= 1.0
-    at_one = {k: F.when(reaches, F.col(k)).otherwise(F.lit(0)) for k in ("tp", "fp")}
-    extra = rates(confusion(at_one["tp"], at_one["fp"]))
-    extra.update({"precision": F.lit(1.0), "recall": F.lit(0.0)})
+    extra = rate_texts(confusion("if(score >= 1.0D, tp, 0)", "if(score >= 1.0D, fp, 0)"))
+    extra.update({"precision": "1.0D", "recall": "0.0D"})
     # Without unpivoting first, the order of the running counts serves the
     # aggregation as it is: no further sort.
-    best = rows.groupBy(*keys).agg(*[
+    best = steps.groupBy(*keys).agg(*[
         F.least(
             F.min(plain[n]),
-            F.min(F.when(F.col("is_first"), candidate(extra[n], F.lit(1.0), 1))),
+            F.min(F.when(F.col("is_first"), candidate(F.expr(extra[n]), F.lit(1.0), 1))),
         ).alias(n)
         for n in names
     ])

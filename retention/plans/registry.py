@@ -28,26 +28,25 @@ MODELS = list(SCORERS)
 OPTIMAL = [f"{m}_optimal" for m in MODELS]
 
 
-def round_half_up(c, digits: int):
-    """Plain double operations, so that another engine can repeat them to the bit."""
-    scale = float(10 ** digits)
-    return F.floor(c * scale + 0.5) / F.lit(scale)
-
-
 def rounded(df: DataFrame, digits: int = 6, but: Sequence[str] = ()) -> DataFrame:
-    """Every double column rounded; the columns in ``but`` are left alone."""
-    return df.select(*[
-        round_half_up(F.col(f"`{f.name}`"), digits).alias(f.name)
-        if isinstance(f.dataType, T.DoubleType) and f.name not in but else F.col(f"`{f.name}`")
+    """Every double column rounded half up; the columns in ``but`` are left alone.
+
+    Plain double operations, so that another engine can repeat them to the bit.
+    """
+    return df.selectExpr(*[
+        _round(f.name, digits) if isinstance(f.dataType, T.DoubleType) and f.name not in but else f"`{f.name}`"
         for f in df.schema.fields
     ])
 
 
+def _round(name: str, digits: int) -> str:
+    scale = f"{10 ** digits}.0D"
+    return f"floor(`{name}` * {scale} + 0.5D) / {scale} AS `{name}`"
+
+
 def _ranked(df: DataFrame, *nine: str) -> DataFrame:
     """Round the named ranking metrics to nine digits, the rest to six."""
-    for c in nine:
-        df = df.withColumn(c, round_half_up(F.col(c), 9))
-    return rounded(df, 6, but=nine)
+    return rounded(df, 6, but=nine).selectExpr(*[_round(c, 9) if c in nine else f"`{c}`" for c in df.columns])
 
 
 # --- inputs -----------------------------------------------------------------

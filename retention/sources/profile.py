@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Order priorities, lowest first in text order.
@@ -18,79 +18,64 @@ PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 # Multipliers of the three made-up scorers.
 SCORERS = {"m1": 7919, "m2": 104729, "m3": 1299709}
 
+# Stated schemas save a pass over the file footers.
+CUSTOMER = "c_custkey bigint, c_nationkey int, c_acctbal double, c_mktsegment string"
+ORDERS = "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
 
-def _yes_no(cond: Column) -> Column:
-    return F.when(cond, "Yes").otherwise("No")
+
+def _yes_no(cond: str) -> str:
+    return f"CASE WHEN {cond} THEN 'Yes' ELSE 'No' END"
 
 
 def customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw customer row per customer, in the shape of the raw table."""
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+    customer = spark.read.schema(CUSTOMER).parquet(f"{sf_dir}/customer.parquet")
+    orders = spark.read.schema(ORDERS).parquet(f"{sf_dir}/orders.parquet").selectExpr(
         "o_orderkey",
         "o_custkey",
-        F.col("o_orderdate").cast("date").alias("d"),
-        F.col("o_totalprice").cast("decimal(18,2)").alias("price"),
-        "o_orderpriority",
+        "CAST(o_orderdate AS DATE) AS d",
+        "CAST(o_totalprice AS DECIMAL(18,2)) AS price",
+        "o_orderpriority AS priority",
     )
     anchor = orders.agg(F.max("d")).scalar()
 
     # Latest order's priority, highest text on equal dates: day number and
     # position in one long, because a text buffer would force a sort aggregate.
-    position = F.lit(0)
-    for i, name in enumerate(PRIORITIES, start=1):
-        position = F.when(F.col("o_orderpriority") == name, i).otherwise(position)
-    latest = F.max(F.unix_date("d").cast("long") * 8 + position)
-
-    per_customer = orders.groupBy("o_custkey").agg(
-        F.max("d").alias("last_dt"),
-        F.min(F.when(F.col("o_orderpriority") == PRIORITIES[0], F.col("d"))).alias("first_urgent"),
-        F.sum("price").alias("total"),
-        F.count(F.lit(1)).alias("n"),
-        latest.alias("latest"),
-        *[F.max(F.col("o_orderkey") % 9 == k).alias(f"s{k}") for k in range(9)],
-    )
-    joined = customer.join(per_customer, F.col("c_custkey") == F.col("o_custkey"), "left")
-
-    def has(k: int) -> Column:
-        return F.coalesce(F.col(f"s{k}"), F.lit(False))
-
-    last_priority = F.lit("none")
-    for i, name in enumerate(PRIORITIES, start=1):
-        last_priority = F.when(F.pmod(F.col("latest"), F.lit(8)) == i, name).otherwise(last_priority)
-
-    key = F.col("c_custkey")
-    return joined.select(
-        key.alias("customerID"),
-        F.when(F.col("c_nationkey") % 2 == 0, "Female").otherwise("Male").alias("gender"),
-        (key % 6 == 0).cast("int").alias("SeniorCitizen"),
-        _yes_no(F.col("c_acctbal") >= 4500).alias("Partner"),
-        _yes_no(key % 10 < 3).alias("Dependents"),
-        F.coalesce(
-            F.floor(F.date_diff(anchor, F.col("first_urgent")) / F.lit(30.0)), F.lit(0)
-        ).cast("int").alias("tenure"),
-        _yes_no(has(0)).alias("PhoneService"),
-        F.when(~has(0), "No phone service").when(has(1), "Yes").otherwise("No").alias("MultipleLines"),
-        F.when(has(2), "Fiber").when(has(3), "DSL").otherwise("No").alias("InternetService"),
-        _yes_no(has(4)).alias("OnlineSecurity"),
-        _yes_no(has(5)).alias("OnlineBackup"),
-        F.when(key % 50 == 0, F.lit(None)).when(has(6), "Yes").otherwise("No").alias("DeviceProtection"),
-        _yes_no(has(7)).alias("TechSupport"),
-        _yes_no(has(8)).alias("StreamingTV"),
-        _yes_no(has(1) & has(8)).alias("StreamingMovies"),
-        F.col("c_mktsegment").alias("Contract"),
-        _yes_no(key % 5 < 3).alias("PaperlessBilling"),
-        last_priority.alias("PaymentMethod"),
-        F.when(
-            key % 97 != 0,
-            F.col("total").cast("double") / (F.lit(1000.0) * F.col("n")),
-        ).alias("MonthlyCharges"),
-        F.when(F.col("first_urgent").isNull(), " ")
-        .otherwise(F.col("total").cast("string"))
-        .alias("TotalCharges"),
-        _yes_no(
-            F.col("last_dt").isNull() | (F.date_diff(anchor, F.col("last_dt")) > 270)
-        ).alias("Churn"),
+    priorities = "array({})".format(", ".join(f"'{p}'" for p in PRIORITIES))
+    aggregates = [
+        "max(d) AS last_dt",
+        f"min(CASE WHEN priority = '{PRIORITIES[0]}' THEN d END) AS first_urgent",
+        "sum(price) AS total",
+        "count(1) AS n",
+        f"max(CAST(unix_date(d) AS BIGINT) * 8 + array_position({priorities}, priority)) AS latest",
+        *[f"max(o_orderkey % 9 = {k}) AS s{k}" for k in range(9)],
+    ]
+    per_customer = orders.groupBy("o_custkey").agg(*[F.expr(a) for a in aggregates])
+    joined = customer.join(per_customer, customer["c_custkey"] == per_customer["o_custkey"], "left")
+
+    has = [f"coalesce(s{k}, false)" for k in range(9)]
+    return joined.withColumn("anchor", anchor).selectExpr(
+        "c_custkey AS customerID",
+        "CASE WHEN c_nationkey % 2 = 0 THEN 'Female' ELSE 'Male' END AS gender",
+        "CAST(c_custkey % 6 = 0 AS INT) AS SeniorCitizen",
+        f"{_yes_no('c_acctbal >= 4500')} AS Partner",
+        f"{_yes_no('c_custkey % 10 < 3')} AS Dependents",
+        "CAST(coalesce(floor(date_diff(anchor, first_urgent) / 30.0D), 0) AS INT) AS tenure",
+        f"{_yes_no(has[0])} AS PhoneService",
+        f"CASE WHEN NOT {has[0]} THEN 'No phone service' WHEN {has[1]} THEN 'Yes' ELSE 'No' END AS MultipleLines",
+        f"CASE WHEN {has[2]} THEN 'Fiber' WHEN {has[3]} THEN 'DSL' ELSE 'No' END AS InternetService",
+        f"{_yes_no(has[4])} AS OnlineSecurity",
+        f"{_yes_no(has[5])} AS OnlineBackup",
+        f"CASE WHEN c_custkey % 50 = 0 THEN NULL WHEN {has[6]} THEN 'Yes' ELSE 'No' END AS DeviceProtection",
+        f"{_yes_no(has[7])} AS TechSupport",
+        f"{_yes_no(has[8])} AS StreamingTV",
+        f"{_yes_no(f'{has[1]} AND {has[8]}')} AS StreamingMovies",
+        "c_mktsegment AS Contract",
+        f"{_yes_no('c_custkey % 5 < 3')} AS PaperlessBilling",
+        f"coalesce(try_element_at({priorities}, CAST(latest % 8 AS INT)), 'none') AS PaymentMethod",
+        "CASE WHEN c_custkey % 97 <> 0 THEN CAST(total AS DOUBLE) / (1000.0D * n) END AS MonthlyCharges",
+        "CASE WHEN first_urgent IS NULL THEN ' ' ELSE CAST(total AS STRING) END AS TotalCharges",
+        f"{_yes_no('last_dt IS NULL OR date_diff(anchor, last_dt) > 270')} AS Churn",
     )
 
 
@@ -99,24 +84,14 @@ def scored_profile(profile: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
     The scores depend on id and label only, so evaluation needs no training.
     """
-    label = (F.col("Churn") == "Yes").cast("int")
-    base = F.when(label == 1, 300).otherwise(50)
-    scores = F.array(*[
-        F.struct(
-            F.lit(name).alias("model"),
-            (((F.col("customerID") * k) % 100 * 6 + base).cast("double") / F.lit(1000.0)).alias("p"),
-        )
-        for name, k in SCORERS.items()
-    ])
+    scorers = ", ".join(f"struct('{name}' AS model, {k} AS k)" for name, k in SCORERS.items())
     return (
-        profile.select("customerID", "Contract", *keep, label.alias("label"), F.explode(scores).alias("s"))
-        .select(
-            "customerID",
-            "Contract",
-            *keep,
-            "s.model",
-            "label",
-            "s.p",
-            (F.col("s.p") >= 0.5).cast("int").alias("prediction"),
+        profile.selectExpr(
+            "customerID", "Contract", *keep, "CAST(Churn = 'Yes' AS INT) AS label", f"explode(array({scorers})) AS s"
+        )
+        .selectExpr(
+            "customerID", "Contract", *keep, "s.model AS model", "label",
+            "CAST((customerID * s.k) % 100 * 6 + CASE WHEN label = 1 THEN 300 ELSE 50 END AS DOUBLE) / 1000.0D AS p",
         )
+        .selectExpr("*", "CAST(p >= 0.5D AS INT) AS prediction")
     )

@@ -146,3 +146,15 @@ def test_row_index(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1009).alias("k")).repartition(5)
     rows = with_row_index(df, ["k"]).orderBy("k").collect()
     assert [r.row_index for r in rows] == list(range(1000))
+
+
+def test_categories_with_quotes_and_extreme_numbers(spark):
+    values = ["a", "it's", 'say "x"', "back\\slash", "new\nline", "%s {0}", "ünï"]
+    df = spark.createDataFrame([(v, float(i) * 1e-17) for i, v in enumerate(values)], "t string, n double")
+    model = prep.Preprocessor(numerical=["n"], categorical=["t"]).fit(df)
+    rows = {r.t: r for r in model.encode(df, ["t"]).collect()}
+    names = model.feature_names
+    assert len(names) == len(values)
+    for v in values:
+        assert [n for n in names[1:] if rows[v][n] == 1.0] == ([] if v == min(values) else [f"t_{v}"])
+    assert abs(sum(r.n for r in rows.values())) < 1e-9
