@@ -147,40 +147,36 @@ def density(
 ) -> DataFrame:
     """(feature, target, i, x, density): exact Gaussian kernel density with Scott's bandwidth.
 
-    The grid reaches ``cut`` bandwidths beyond the data. Equal values are counted
-    once; each distinct value adds to every grid point, summed before the
-    shuffle. A group without spread yields its one value with density 1.
+    The grid reaches ``cut`` bandwidths beyond the data. Every row adds to all
+    grid points inside the scan task, where the sums per point are combined;
+    only they are shuffled. A group without spread yields its one value with
+    density 1.
     """
     values = _numeric_by_target(df, columns, target)
     spread = values.groupBy("target", "feature").agg(
-        F.count(F.lit(1)).alias("n"),
-        (F.stddev_samp("value") * F.pow(F.count(F.lit(1)).cast("double"), F.lit(-0.2))).alias("h"),
-        F.min("value").alias("low"),
-        F.max("value").alias("high"),
+        F.expr("count(1) AS n"),
+        F.expr("stddev_samp(value) * pow(CAST(count(1) AS DOUBLE), -0.2D) AS h"),
+        F.expr("min(value) AS low"),
+        F.expr("max(value) AS high"),
     )
     flat = F.col("low") == F.col("high")
-    grid = spread.select(
+    grid = spread.where(~flat).selectExpr(
         "target", "feature", "n", "h",
-        (F.col("low") - F.lit(cut) * F.col("h")).alias("start"),
-        ((F.col("high") - F.col("low") + F.lit(2 * cut) * F.col("h")) / F.lit(float(points - 1))).alias("step"),
+        f"low - {cut}D * h AS start",
+        f"(high - low + {2 * cut}D * h) / {float(points - 1)}D AS step",
     )
-    counted = values.groupBy("target", "feature", "value").agg(F.count(F.lit(1)).alias("c"))
-    x = F.col("start") + F.col("i") * F.col("step")
-    z = (F.col("x") - F.col("value")) / F.col("h")
-    curves = (
-        counted.join(broadcast_if_small(grid.where(~flat)), ["target", "feature"])
-        .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-        .withColumn("x", x)
-        .groupBy("feature", "target", "i", "x", "n", "h")
-        .agg(F.sum(F.col("c") * F.exp(F.lit(-0.5) * z * z)).alias("kernel"))
-        .select(
-            "feature", "target", "i", "x",
-            (F.col("kernel") / (F.col("n") * F.col("h") * F.sqrt(F.lit(2.0) * F.pi()))).alias("density"),
-        )
+    grid = broadcast_if_small(grid)
+    sums = (
+        values.join(grid, ["target", "feature"])
+        .selectExpr("target", "feature", "value", "h", "start", "step", f"explode(sequence(0, {points - 1})) AS i")
+        .selectExpr("target", "feature", "i", "(start + i * step - value) / h AS z")
+        .groupBy("target", "feature", "i")
+        .agg(F.expr("sum(exp(-0.5D * z * z)) AS kernel"))
     )
-    single = spread.where(flat).select(
-        "feature", "target", F.lit(0).alias("i"), F.col("low").alias("x"), F.lit(1.0).alias("density")
+    curves = sums.join(grid, ["target", "feature"]).selectExpr(
+        "feature", "target", "i", "start + i * step AS x", "kernel / (n * h * sqrt(2.0D * pi())) AS density"
     )
+    single = spread.where(flat).selectExpr("feature", "target", "0 AS i", "low AS x", "1.0D AS density")
     return curves.unionByName(single)
 
 
