@@ -83,21 +83,29 @@ def _fit_models(models, train, threads, failed) -> dict:
     return {n: m for n, m in fitted.items() if m is not None}
 
 
-def fold_metrics(scored: DataFrame, keys: Sequence[str] = ("model", "fold")) -> DataFrame:
-    """accuracy, precision, recall, f1, roc_auc per model and fold."""
-    return full_metrics(scored, keys).select(
-        *keys, "accuracy", "precision", "recall", "f1", F.col("auc").alias("roc_auc")
-    )
+def fold_metrics(
+    scored: DataFrame, keys: Sequence[str] = ("model", "fold"), scoring: str | Sequence[str] | None = None
+) -> DataFrame:
+    """The named metrics per model and fold; accuracy, precision, recall, f1 and roc_auc by default."""
+    names = [scoring] if isinstance(scoring, str) else list(scoring or CV_METRICS)
+    metrics = full_metrics(scored, keys).withColumnRenamed("auc", "roc_auc")
+    unknown = [n for n in names if n not in metrics.columns]
+    if unknown:
+        raise ValueError(f"Unsupported metric: {unknown[0]}")
+    return metrics.select(*keys, *names)
 
 
 def cross_validate(
-    models: Mapping[str, Estimator], df: DataFrame, k: int = CV_FOLDS, train_scores: bool = False, **options
+    models: Mapping[str, Estimator],
+    df: DataFrame,
+    k: int = CV_FOLDS,
+    scoring: str | Sequence[str] | None = None,
+    train_scores: bool = False,
+    **options,
 ) -> DataFrame:
     """Metrics per model and fold; with ``train_scores`` also those of the training part."""
     scored = fold_scores(models, df, k, train_scores=train_scores, **options)
-    if train_scores:
-        return fold_metrics(scored, ("model", "fold", "part"))
-    return fold_metrics(scored)
+    return fold_metrics(scored, ("model", "fold", "part") if train_scores else ("model", "fold"), scoring)
 
 
 def cv_summary(metrics: DataFrame, names: Sequence[str] = tuple(CV_METRICS)) -> DataFrame:

@@ -7,7 +7,7 @@ read them; only fitted statistics and metric tables reach the driver.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Transformer
 from pyspark.sql import DataFrame
@@ -235,6 +235,8 @@ class JobResult:
 def run_job(raw: DataFrame, cfg: JobConfig | None = None) -> JobResult:
     """Data, models, evaluation and report of one raw customer table."""
     cfg = cfg or JobConfig()
+    if "all" in cfg.models:
+        cfg = replace(cfg, models=KINDS)
     unknown = set(cfg.models) - set(KINDS)
     if unknown:
         raise ValueError(f"Unsupported model type: {sorted(unknown)[0]}")

@@ -14,7 +14,8 @@ def read_raw(spark: SparkSession, path: str, file_format: str = "csv") -> DataFr
     """The raw customer table by column name.
 
     CSV columns are read as text without an inference pass; missing-value tokens
-    become null and the numeric columns are cast (a bad number becomes null).
+    become null and the numeric columns are cast. A bad number becomes null, and
+    so does a fraction in a whole-number column ("3.0" is a whole number).
     A blank " " is a value, not a missing token. Unknown columns stay text.
     """
     if file_format != "csv":
@@ -25,7 +26,10 @@ def read_raw(spark: SparkSession, path: str, file_format: str = "csv") -> DataFr
         c = F.col(f"`{name}`")
         value = F.when(~c.isin(MISSING_TOKENS), c)
         kind = RAW_NUMERIC_TYPES.get(name)
-        columns.append((F.trim(value).try_cast(kind) if kind else value).alias(name))
+        if kind:
+            number = F.trim(value).try_cast("double")
+            value = number if kind == "double" else F.when(number == F.floor(number), number.try_cast(kind))
+        columns.append(value.alias(name))
     return raw.select(*columns)
 
 

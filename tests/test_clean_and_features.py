@@ -119,3 +119,11 @@ def test_stage_returns_the_same_rows(spark):
     df = spark.range(10).withColumn("x", F.col("id") / 3)
     assert sorted(stage(df, "t").collect()) == sorted(df.collect())
     assert math.isclose(stage(df, "t").agg(F.sum("x")).first()[0], 15.0)
+
+
+def test_raw_numbers(spark):
+    texts = ["3", "3.0", "3.5", "x", " 4 ", "NaN", None, "1e2", "99999999999"]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "customerID string, tenure string")
+    rows = read_raw(spark, write_raw_csv(df, new_path(spark, "raw"))).collect()
+    got = {r.customerID: r.tenure for r in rows}
+    assert [got[str(i)] for i in range(len(texts))] == [3, 3, None, None, 4, None, None, 100, None]

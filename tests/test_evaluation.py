@@ -219,3 +219,26 @@ def test_cv_summary_uses_population_deviation(spark):
     df = spark.createDataFrame([("m", 0, 0.5), ("m", 1, 0.7)], "model string, fold int, accuracy double")
     row = cv.cv_summary(df).first()
     assert (row.Mean, row.Std) == (pytest.approx(0.6), pytest.approx(0.1))
+
+
+def test_named_scoring(spark):
+    df = table(spark, random_rows(50)).withColumn("fold", (F.col("customerID") % 2).cast("int"))
+    assert cv.fold_metrics(df, scoring="roc_auc").columns == ["model", "fold", "roc_auc"]
+    assert cv.fold_metrics(df, scoring=["f1", "specificity"]).columns == ["model", "fold", "f1", "specificity"]
+    with pytest.raises(ValueError):
+        cv.fold_metrics(df, scoring="gain")
+
+
+def test_a_third_of_all_rows_in_one_segment_and_score(spark):
+    """Ranges are cut by the pooled scores; the hot score collapses to one row and nothing is lost."""
+    rnd = random.Random(1)
+    rows = [("hot", int(rnd.random() < 0.4), 0.123456) for _ in range(700)]
+    rows += [(rnd.choice("abc"), int(rnd.random() < 0.4), rnd.random()) for _ in range(1400)]
+    got = {r.model: r for r in cu.ranking_metrics(table(spark, rows), ["model"], rows_per_range=60).collect()}
+    assert got["hot"].auc == 0.5
+    for m in "abc":
+        pairs = [(y, p) for k, y, p in rows if k == m]
+        assert got[m].auc == pytest.approx(brute_auc(pairs), abs=1e-12)
+        assert got[m].average_precision == pytest.approx(brute_ap(pairs), abs=1e-12)
+    totals = cu.running_counts(table(spark, rows), ["model"], rows_per_range=60).agg(F.sum("pos"), F.sum("neg")).first()
+    assert totals[0] + totals[1] == 2100
