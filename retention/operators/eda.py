@@ -56,13 +56,14 @@ def category_by_target(
     All columns share one aggregation. Rows with a missing value or target are left out.
     """
     present = [c for c in columns if c in df.columns]
-    counts = (
+    counts = stage(  # read twice below
         df.where(F.col(target).isNotNull())
         .select(F.col(target).cast("string").alias("target"), *[F.col(c).cast("string").alias(c) for c in present])
         .unpivot(["target"], present, "feature", "value")
         .where(F.col("value").isNotNull())
         .groupBy("feature", "value", "target")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n")),
+        "counts",
     )
     # Per (feature, value) one entry per target value.
     per_value = counts.groupBy("feature", "value").agg(

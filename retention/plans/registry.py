@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import CATEGORICAL_FEATURES, ID_COLUMN, LABEL, NUMERICAL_FEATURES, SELECTED_FEATURES, TENURE_BINS
+from ..config import CATEGORICAL_FEATURES, ID_COLUMN, LABEL, NUMERICAL_FEATURES, SELECTED_FEATURES, TARGET, TENURE_BINS
 from ..operators import boosting, clean as cl, curves, cv, eda, features as fe, inspect_models as im
 from ..operators import metrics as me, prep, sampling as sa, thresholds as th, train as tr, tuning, voting
 from ..operators.order_stats import exact_quantiles, long_values
@@ -54,13 +54,14 @@ def cleaned(spark, d):
     return cl.clean(customer_profile(spark, d))
 
 
-def written(spark, d):
-    """The cleaned table written once, for queries that read it several times."""
-    return stage(cleaned(spark, d), "cleaned")
+def written(spark, d, *columns):
+    """The cleaned table, or some of its columns, written once for queries that read it several times."""
+    table = cleaned(spark, d)
+    return stage(table.select(*columns) if columns else table, "cleaned")
 
 
-def split(spark, d):
-    return sa.stratified_split(written(spark, d))
+def split(spark, d, *columns):
+    return sa.stratified_split(written(spark, d, *columns))
 
 
 def scored(spark, d):
@@ -68,12 +69,13 @@ def scored(spark, d):
 
 
 def scored_written(spark, d):
-    return stage(scored(spark, d), "scored")
+    return scored_profile(written(spark, d, ID_COLUMN, "Contract", TARGET))
 
 
 def fold_scored(spark, d):
     """Scored rows with their fold: the scores are a narrow function of the row, so no join."""
-    return scored_profile(sa.stratified_folds(written(spark, d)), ["fold"])
+    table = written(spark, d, ID_COLUMN, "Contract", TARGET, LABEL)
+    return scored_profile(sa.stratified_folds(table), ["fold"])
 
 
 def vectors(spark, d, *keep):
@@ -101,13 +103,13 @@ SPLIT_COLUMNS = [ID_COLUMN, "Contract", "tenure", LABEL]
 
 def write_split_tables(spark, d):
     path = new_path(spark, "split")
-    write_split(split(spark, d).select(*SPLIT_COLUMNS, "split"), path)
+    write_split(split(spark, d, *SPLIT_COLUMNS), path)
     return read_split(spark, path)
 
 
 def read_split_table(spark, d):
     path = new_path(spark, "split")
-    write_split(split(spark, d).select(*SPLIT_COLUMNS, "split"), path)
+    write_split(split(spark, d, *SPLIT_COLUMNS), path)
     return read_split(spark, path, "test").drop("split")
 
 
@@ -165,8 +167,8 @@ def engineered(spark, d):
 
 
 def segment_mapping(spark, d):
-    table = split(spark, d)
     columns = ["Contract", "PaymentMethod"]
+    table = split(spark, d, ID_COLUMN, LABEL, *columns)
     fitted = prep.Preprocessor(categorical=columns, numerical=[]).fit(table.where(F.col("split") == "train"))
     return fe.segment_mapping(table.where(F.col("split") == "test"), columns, fitted.categories)
 
@@ -177,7 +179,7 @@ def _train(table):
 
 
 def median_impute(spark, d):
-    table = split(spark, d)
+    table = split(spark, d, ID_COLUMN, LABEL, *NUMERICAL_FEATURES)
     medians = exact_quantiles(long_values(_train(table), NUMERICAL_FEATURES), ["feature"], [0.5])
     by_name = {r["feature"]: r["q"][0] for r in medians.collect()}
     filled = table.select(
@@ -187,7 +189,7 @@ def median_impute(spark, d):
 
 
 def standard_scale(spark, d):
-    return rounded(prep.numeric_statistics(_train(split(spark, d)), NUMERICAL_FEATURES))
+    return rounded(prep.numeric_statistics(_train(split(spark, d, ID_COLUMN, LABEL, *NUMERICAL_FEATURES)), NUMERICAL_FEATURES))
 
 
 def mode_impute(spark, d):
@@ -406,11 +408,11 @@ def queries() -> dict[str, Query]:
         "binary_label": lambda s, d: cl.add_binary_label(customer_profile(s, d)).select(ID_COLUMN, "Churn", LABEL),
         "drop_non_features": lambda s, d: cl.drop_non_features(cleaned(s, d)),
         "select_features": lambda s, d: cl.select_existing(cleaned(s, d), SELECTED_FEATURES),
-        "stratified_split": lambda s, d: split(s, d).select(ID_COLUMN, LABEL, "split"),
-        "stratified_folds": lambda s, d: sa.stratified_folds(written(s, d)).select(ID_COLUMN, LABEL, "fold"),
+        "stratified_split": lambda s, d: split(s, d, ID_COLUMN, LABEL),
+        "stratified_folds": lambda s, d: sa.stratified_folds(written(s, d, ID_COLUMN, LABEL)),
         "append_rows": lambda s, d: (lambda t: sa.append_rows(
             t.where(F.col("split") == "train").drop("split"), t.where(F.col("split") == "test").drop("split")
-        ))(split(s, d).select(ID_COLUMN, "tenure", LABEL, "split")),
+        ))(split(s, d, ID_COLUMN, "tenure", LABEL)),
         "segment_rows": lambda s, d: sa.segment_rows(scored(s, d), "Contract", "BUILDING").select(
             ID_COLUMN, "model", "label", "p"),
         "tenure_groups": lambda s, d: fe.add_tenure_groups(cleaned(s, d)).select(
@@ -488,13 +490,13 @@ def queries() -> dict[str, Query]:
         "tree_importance": tree_importance,
         "ensemble_importance": ensemble_importance,
         "tree_nodes": tree_nodes,
-        "target_distribution": lambda s, d: eda.target_distribution(written(s, d)),
-        "category_by_target": six(lambda s, d: eda.category_by_target(written(s, d))),
-        "box_statistics": six(lambda s, d: eda.box_statistics(written(s, d))),
-        "box_outliers": six(lambda s, d: eda.box_outliers(written(s, d))),
-        "density": lambda s, d: _ranked(eda.density(written(s, d)), "density"),
+        "target_distribution": lambda s, d: eda.target_distribution(written(s, d, TARGET)),
+        "category_by_target": six(lambda s, d: eda.category_by_target(cleaned(s, d))),
+        "box_statistics": six(lambda s, d: eda.box_statistics(written(s, d, *NUMERICAL_FEATURES, TARGET))),
+        "box_outliers": six(lambda s, d: eda.box_outliers(written(s, d, *NUMERICAL_FEATURES, TARGET))),
+        "density": lambda s, d: _ranked(eda.density(written(s, d, *NUMERICAL_FEATURES, TARGET)), "density"),
         "correlation_matrix": six(lambda s, d: eda.correlation_matrix(written(s, d))),
-        "tenure_histogram": six(lambda s, d: eda.tenure_histogram(written(s, d))),
+        "tenure_histogram": six(lambda s, d: eda.tenure_histogram(written(s, d, "tenure", TARGET))),
         "churn_by_tenure": six(lambda s, d: eda.churn_by_tenure(cleaned(s, d))),
         "churn_by_service": six(lambda s, d: eda.churn_by_service(cleaned(s, d))),
         "churn_by_service_long": six(lambda s, d: eda.service_long(eda.churn_by_service(cleaned(s, d)))),
