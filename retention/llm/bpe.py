@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retention.llm.merging import merge
-from retention.llm.text import blocks, list_array, two_columns
+from retention.llm.text import blocks, list_array, out_schema, two_columns
 
 # Classes of code points.
 LETTER, NUMBER, OTHER, SPACE = range(4)
@@ -241,8 +241,7 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
             yield pa.RecordBatch.from_arrays([keys, list_array(ids, offsets), list_array(ends, offsets)], ["id", "ids", "ends"])
 
     source = two_columns(docs, id_col, text_col)
-    kind = source.schema["id"].dataType.simpleString()
-    out = source.mapInArrow(run, f"id {kind}, ids array<int>, ends array<int>")
+    out = source.mapInArrow(run, out_schema(source, ids="array<int>", ends="array<int>"))
     return out.withColumnRenamed("id", id_col)
 
 
@@ -279,8 +278,7 @@ def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id") -> DataF
                 yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(values, pa.binary())], ["id", "ids", "decoded"])
 
     source = encoded.select(encoded[f"`{id_col}`"].alias("id"), "ids", "ends")
-    kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(run, f"id {kind}, ids array<int>, decoded binary").withColumnRenamed("id", id_col)
+    return source.mapInArrow(run, out_schema(source, ids="array<int>", decoded="binary")).withColumnRenamed("id", id_col)
 
 
 def digests(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BLOCK_BYTES = 2_000_000
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -22,6 +23,17 @@ def two_columns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(docs[f"`{id_col}`"].alias("id"), F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit("")).alias("text"))
 
 
+def with_rows(docs: DataFrame, text_col: str) -> DataFrame:
+    """Like ``two_columns`` with the whole row, as one struct, in place of the id."""
+    row = F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns])
+    return docs.select(row.alias("id"), F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit("")).alias("text"))
+
+
+def out_schema(source: DataFrame, **fields: str) -> T.StructType:
+    """The id of ``source`` and further fields of the given types."""
+    return T.StructType([source.schema["id"], *T.StructType.fromDDL(", ".join(f"{k} {v}" for k, v in fields.items())).fields])
+
+
 def blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.Array, list[str]]]:
     """(ids, texts) in runs of about ``limit`` bytes of text, one text at least."""
     for batch in batches:
@@ -47,10 +59,6 @@ def lower_ascii(text: Column) -> Column:
     )
 
 
-def packed(docs: DataFrame) -> DataFrame:
-    """All columns in one struct ``row``, so that helper columns can't clash with them."""
-    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
-
-
-def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.select(*[F.col("row").getField(c).alias(c) for c in columns])
+def restored(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns of the rows in ``id``, as they were."""
+    return df.select(*[F.col("id").getField(c).alias(c) for c in columns])

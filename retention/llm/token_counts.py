@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from retention.llm.merging import merge
-from retention.llm.text import blocks, two_columns
+from retention.llm.text import blocks, out_schema, two_columns
 
 BLANK = "▁"
 KEPT_WORDS = 500_000
@@ -91,6 +91,5 @@ def token_counts(
             )
 
     source = two_columns(docs, id_col, text_col)
-    kind = source.schema["id"].dataType.simpleString()
-    out = source.mapInArrow(run, f"id {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    out = source.mapInArrow(run, out_schema(source, n_bytes="long", n_tokens="long", over_limit="boolean"))
     return out.withColumnRenamed("id", id_col)
