@@ -93,15 +93,15 @@ def remove_lines(
 
 ORACLE = f"""
 WITH l AS (
-  SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS at
+  SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
   FROM documents WHERE text IS NOT NULL
 ), b AS (
   SELECT line, min(doc_id) AS least FROM l WHERE trim(line) <> '' GROUP BY line HAVING count(DISTINCT source) >= {SITES}
 ), j AS (
-  SELECT l.doc_id, l.line, l.at, b.line IS NOT NULL AND l.doc_id <> b.least AS gone FROM l LEFT JOIN b ON l.line = b.line
+  SELECT l.doc_id, l.line, l.pos, b.line IS NOT NULL AND l.doc_id <> b.least AS gone FROM l LEFT JOIN b ON l.line = b.line
 )
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
-  coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT gone), '') AS text
+  coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text
 FROM j GROUP BY doc_id
 UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL
 """

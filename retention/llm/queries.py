@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retention.llm import bpe, decontaminate, exact_dedup, line_dedup, simhash, token_counts
+from retention.llm import bpe, decontaminate, exact_dedup, line_dedup, quality, simhash, token_counts
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -22,6 +23,16 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def quality_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> np.ndarray:
+    return quality.train(docs, table(spark, sf_dir, "labels"), may_train=quality.not_held_out())
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality_weights(spark, docs, sf_dir))
+    return scored.select("doc_id", (~quality.not_held_out()).alias("held_out"), "score", "predicted")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -48,7 +59,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE))
 
 
-QUERIES = (op1_byte_bpe, op6_exact_dedup, op7_simhash, op8_decontamination, op9_line_dedup, op10_token_counts)
+QUERIES = (op1_byte_bpe, op3_quality, op6_exact_dedup, op7_simhash, op8_decontamination, op9_line_dedup, op10_token_counts)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
