@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retention.llm import bpe, decontaminate, exact_dedup, licenses, line_dedup, quality, simhash, token_counts
+from retention.llm import bpe, decontaminate, exact_dedup, licenses, line_dedup, pii, quality, simhash, token_counts
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -33,6 +33,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (~quality.not_held_out()).alias("held_out"), "score", "predicted")
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(table(spark, sf_dir, "documents"))
+
+
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
     return found.select(
@@ -72,7 +76,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE))
 
 
-QUERIES = (op1_byte_bpe, op3_quality, op5_licenses, op6_exact_dedup, op7_simhash, op8_decontamination, op9_line_dedup, op10_token_counts)
+QUERIES = (op1_byte_bpe, op3_quality, op4_personal_data, op5_licenses, op6_exact_dedup, op7_simhash, op8_decontamination, op9_line_dedup, op10_token_counts)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
