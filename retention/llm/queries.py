@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retention.llm import bpe, decontaminate, exact_dedup, licenses, line_dedup, pii, quality, simhash, token_counts
+from retention.llm import bpe, decontaminate, exact_dedup, licenses, line_dedup, lm_mixing, pii, quality, simhash, token_counts
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -23,6 +23,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_mixing.score_texts(table(spark, sf_dir, "documents"))
+
+
 def quality_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> np.ndarray:
     return quality.train(docs, table(spark, sf_dir, "labels"), may_train=quality.not_held_out())
 
@@ -76,7 +80,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE))
 
 
-QUERIES = (op1_byte_bpe, op3_quality, op4_personal_data, op5_licenses, op6_exact_dedup, op7_simhash, op8_decontamination, op9_line_dedup, op10_token_counts)
+QUERIES = (op1_byte_bpe, op2_lm_scores, op3_quality, op4_personal_data, op5_licenses, op6_exact_dedup, op7_simhash, op8_decontamination, op9_line_dedup, op10_token_counts)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
