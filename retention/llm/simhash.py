@@ -16,8 +16,10 @@ their shard is and not broadcast, since all trees together grow with the corpus.
 A null text counts as empty. A text without words has fingerprint zero and links like
 any other; fewer words than a shingle make one shingle. Repeated rows and ties share
 a class. The class id is the smallest id in the class, null if all its ids are null.
-An empty table gives an empty table. Columns other than id and text are not read, and
-``first_of_groups`` returns them untouched, whatever their names.
+An empty table gives an empty table. Columns other than id and text are not read;
+``first_of_classes`` returns them untouched, whatever their names. It keeps one row per class:
+the one with the least id (rows without an id last), of repeated ids the one with the least hash
+of all its columns, of identical rows one.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from retention.llm.components import components
@@ -234,6 +236,27 @@ def near_duplicates(
     )
 
 
+def first_of_classes(
+    docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text",
+    shard_size: int = SHARD_SIZE,
+) -> DataFrame:
+    """One document of every class, with all its columns.
+
+    Of each class only the least (id, hash of the row) travels; whole rows are then picked by
+    that pair, and a fingerprint's copies never meet in one task.
+    """
+    row = F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns])
+    keyed = docs.select(row.alias("row"), docs[f"`{id_col}`"].alias("id"), F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit("")).alias("text"))
+    keyed = keyed.select("row", F.struct(F.col("id").isNull().alias("last"), "id", F.xxhash64(F.to_json("row")).alias("h")).alias("id"), "text")
+    rows = stage(fingerprints(keyed, shingle, "id", "text"), "fingerprints")
+    named = classes(rows, radius, shard_size)
+    chosen = named.filter(F.col("id") == F.col("component")).select("id").distinct()
+    picked = keyed.select("row", "id").join(chosen.hint("merge"), "id")
+    # The id holds a hash of all columns: rows that share it are repeats, and the join has put them side by side.
+    first = picked.withColumn("n", F.row_number().over(Window.partitionBy("id").orderBy("id"))).filter("n = 1")
+    return first.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
 def classes(rows: DataFrame, radius: int = RADIUS, shard_size: int = SHARD_SIZE) -> DataFrame:
     """(id, fp, component) of rows (id, fp). A frequent fingerprint is salted, so no task gets all its rows."""
     salt = F.pmod(F.xxhash64("id"), F.lit(SALTS))
