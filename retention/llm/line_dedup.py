@@ -85,7 +85,7 @@ def remove_lines(
     if counts:
         n = F.coalesce(F.size(old).cast("long"), F.lit(0).cast("long"))
         n = F.when(F.col("id").getField(text_col).isNull(), F.lit(0).cast("long")).otherwise(n)
-        removed = F.when(F.col("keys").isNull(), F.lit(0)).otherwise(F.size(old) - F.size(kept)).cast("long")
+        removed = F.when(F.col("keys").isNull() | F.col("id").getField(text_col).isNull(), F.lit(0)).otherwise(F.size(old) - F.size(kept)).cast("long")
         return met.select(F.col("id").getField(id_col).alias(id_col), n.alias("n_lines"), removed.alias("n_removed"), new.alias("text"))
     changed = met.select(F.col("id"), new.alias("new"))
     return changed.select(*[F.col("new").alias(c) if c == text_col else F.col("id").getField(c).alias(c) for c in docs.columns])
