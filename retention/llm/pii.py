@@ -151,8 +151,8 @@ def candidates(rows: DataFrame) -> DataFrame:
 def reliabilities(table: list) -> list[float]:
     """EM over vote patterns: the likelihood of personal data for each row (kind, votes…, traits…, count) of ``table``.
 
-    Two classes; each labeler votes independently given the class, with its own rates of yes, no and
-    abstention; each kind has its own share. Starts from the sum of the votes, the strict pattern's twice.
+    Two classes; each labeler that does not abstain votes independently given the class, with its own
+    rates of yes and no; each kind has its own share. Starts from the sum of the votes, the strict pattern's twice.
     """
     votes = np.array([[r[v] for v in VOTES] for r in table], int)
     kinds = np.array([r["kind"] for r in table], int)
@@ -166,18 +166,19 @@ def reliabilities(table: list) -> list[float]:
             no = (weight * (1 - p))[at].sum() + 1
             score[at] += math.log(yes / no)
         for j in range(len(VOTES)):
-            rate = np.array([[(weight * q)[votes[:, j] == v].sum() + 1 for v in (-1, 0, 1)] for q in (1 - p, p)])
+            rate = np.array([[(weight * q)[votes[:, j] == v].sum() + 1 for v in (-1, 1)] for q in (1 - p, p)])
             rate /= rate.sum(axis=1, keepdims=True)
-            score += np.log(rate[1] / rate[0])[votes[:, j] + 1]
+            gain = np.log(rate[1] / rate[0])
+            score += np.array([gain[0], 0.0, gain[1]])[votes[:, j] + 1]
         p = 1 / (1 + np.exp(-np.clip(score, -30, 30)))
     return p.tolist()
 
 
 def _inputs() -> list[tuple[str, int]]:
-    """The classifier's 0/1 inputs: (column, value)."""
+    """The classifier's 0/1 inputs: (column, value). The strict pattern taught it and is no input, so it can go beyond it."""
     return [
         *[("kind", k) for k in range(len(KINDS))],
-        *[(v, x) for v in VOTES for x in (-1, 1)],
+        *[(v, x) for v in VOTES[1:] for x in (-1, 1)],
         *[("size", s) for s in range(1, 4)],
         ("parted", 1),
     ]
