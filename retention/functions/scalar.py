@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, NumericType
 
 # A plain decimal number. Keeps out what try_cast would also take: "1.5d", "NaN", "inf".
 NUMBER_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -22,6 +23,15 @@ def is_yes(c: Column) -> Column:
     return c.eqNullSafe(F.lit("Yes"))
 
 
+def is_positive(df: DataFrame, column: str) -> Column:
+    """The positive class by the column's type: 'Yes' in a text, 1 in a number, true in a boolean; never null."""
+    kind = df.schema[column].dataType
+    value = F.col(f"`{column}`")
+    if isinstance(kind, BooleanType):
+        return value.eqNullSafe(F.lit(True))
+    return value.eqNullSafe(F.lit(1)) if isinstance(kind, NumericType) else is_yes(value)
+
+
 def safe_ratio(num: Column, den: Column) -> Column:
     """num / den, 0 where the denominator is 0."""
     return F.when(den != 0, num.cast("double") / den.cast("double")).otherwise(F.lit(0.0))

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 from ..config import LABEL, SEED
 from ..sources.staging import stage
 from .train import MAX_BINS
-from .voting import BoostVote, log_odds
+from .voting import BoostVote, ShareScore, log_odds
 
 
 def weight_exponent(label: Column, margin: Column, learning_rate: float) -> Column:
@@ -74,20 +73,21 @@ class BoostedTrees(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             ),
             "boost",
         )
-        tree = DecisionTreeClassifier(
+        # A regression tree on the 0/1 label keeps the class share of every leaf.
+        tree = DecisionTreeRegressor(
             maxDepth=get(self.maxDepth),
             maxBins=MAX_BINS,
             seed=SEED,
             weightCol="weight",
-            rawPredictionCol="",
+            predictionCol="share",
         )
         exponent = weight_exponent(F.col("label"), F.col("margin"), rate)
         largest, members = 0.0, []
         for i in range(rounds):
             weighted = rows.withColumn("weight", F.exp(exponent - F.lit(largest)))
             model = tree.fit(weighted)
-            p = vector_to_array("probability")[1]
-            wrong = (F.col("prediction") != F.col("label")).cast("double")
+            p = F.col("share")
+            wrong = ((p > 0.5).cast("double") != F.col("label")).cast("double")
             moved = model.transform(weighted).select(
                 "features",
                 "label",
@@ -97,9 +97,8 @@ class BoostedTrees(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             )
             member = model.copy()
             member.setFeaturesCol(features)
-            member.setPredictionCol("")
-            member.setProbabilityCol(f"tree{i}_probability")
-            members.append(member)
+            member.setPredictionCol(f"tree{i}_share")
+            members += [member, ShareScore(share=f"tree{i}_share", probabilityCol=f"tree{i}_probability", predictionCol="")]
             if i + 1 == rounds:
                 break
             if (i + 1) % get(self.stageEvery) == 0:
@@ -108,7 +107,7 @@ class BoostedTrees(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             if not error:  # a perfect tree ends the rounds
                 break
             rows = moved.select("features", "label", "margin")
-        return PipelineModel([*members, BoostVote(names=[f"tree{i}" for i in range(len(members))])])
+        return PipelineModel([*members, BoostVote(names=[f"tree{i}" for i in range(len(members) // 2)])])
 
 
 def train_boosted(

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from itertools import combinations
 
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CATEGORICAL_FEATURES, ID_COLUMN, NUMERICAL_FEATURES, SERVICE_COLUMNS, TARGET, TENURE_BINS
-from ..functions.scalar import bin_ordinal, is_yes
+from ..functions.scalar import bin_ordinal, is_positive, is_yes
 from ..sources.staging import broadcast_if_small, stage
 from .features import text_columns
 from .order_stats import SMALL_GROUP, exact_quantiles, long_values
@@ -148,12 +146,13 @@ def density(
 ) -> DataFrame:
     """(feature, target, i, x, density): exact Gaussian kernel density with Scott's bandwidth.
 
-    The grid reaches ``cut`` bandwidths beyond the data. Every row adds to all
-    grid points inside the scan task, where the sums per point are combined;
-    only they are shuffled. A group without spread yields its one value with
-    density 1.
+    The grid reaches ``cut`` bandwidths beyond the data. Rows are first counted
+    by value; every distinct value then adds its count to all grid points inside
+    its task, where the sums per point are combined. A group without spread
+    yields its one value with density 1.
     """
     values = _numeric_by_target(df, columns, target)
+    counted = values.groupBy("target", "feature", "value").agg(F.count(F.lit(1)).alias("c"))
     spread = values.groupBy("target", "feature").agg(
         F.expr("count(1) AS n"),
         F.expr("stddev_samp(value) * pow(CAST(count(1) AS DOUBLE), -0.2D) AS h"),
@@ -168,11 +167,11 @@ def density(
     )
     grid = broadcast_if_small(grid)
     sums = (
-        values.join(grid, ["target", "feature"])
-        .selectExpr("target", "feature", "value", "h", "start", "step", f"explode(sequence(0, {points - 1})) AS i")
-        .selectExpr("target", "feature", "i", "(start + i * step - value) / h AS z")
+        counted.join(grid, ["target", "feature"])
+        .selectExpr("target", "feature", "value", "c", "h", "start", "step", f"explode(sequence(0, {points - 1})) AS i")
+        .selectExpr("target", "feature", "i", "c", "(start + i * step - value) / h AS z")
         .groupBy("target", "feature", "i")
-        .agg(F.expr("sum(exp(-0.5D * z * z)) AS kernel"))
+        .agg(F.expr("sum(c * exp(-0.5D * z * z)) AS kernel"))
     )
     curves = sums.join(grid, ["target", "feature"]).selectExpr(
         "feature", "target", "i", "start + i * step AS x", "kernel / (n * h * sqrt(2.0D * pi())) AS density"
@@ -228,40 +227,30 @@ def category_codes(df: DataFrame, columns: Sequence[str], id_column: str = ID_CO
 def correlation_matrix(df: DataFrame, id_column: str = ID_COLUMN) -> DataFrame:
     """(a, b, r) of the lower triangle: Pearson over the rows that have both values.
 
-    Text columns enter by their codes. One pass covers all columns without
-    missing values; every column, and pair of columns, with missing values gets
-    a pass over its own complete rows. r is null where a column does not vary.
+    Text columns enter by their codes. Two scans whatever is missing: the means,
+    and one aggregation with the moments of every pair around them. r is null
+    where a column does not vary over the rows of its pair.
     """
     spark = df.sparkSession
     names = df.columns
     coded = category_codes(df, text_columns(df), id_column)
     numbers = stage(
-        coded.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in names]), "numbers"
+        coded.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)).alias(f"c{i}") for i, c in enumerate(names)]), "numbers"
     )
-    filled = numbers.agg(*[F.count(c).alias(c) for c in names], F.count(F.lit(1)).alias("__rows")).first()
-    complete = [c for c in names if filled[c] == filled["__rows"]]
-    partial = [c for c in names if c not in complete]
-    groups = [(tuple(), complete)] + [((c,), [c, *complete]) for c in partial]
-    groups += [((a, b), [a, b]) for a, b in combinations(partial, 2)]
-    found: dict[frozenset, float | None] = {}
-    for needed, members in groups:
-        rows = numbers.select(*members)
-        for c in needed:
-            rows = rows.where(F.col(c).isNotNull())
-        if len(members) < 2 or (needed and rows.limit(2).count() < 2) or filled["__rows"] < 2:
-            continue
-        vectors = rows.select(array_to_vector(F.array(*members)).alias("v"))
-        matrix = Correlation.corr(vectors, "v").first()[0].toArray()
-        fresh = range(len(members)) if not needed else range(1)
-        for i in fresh:
-            for j in range(len(members)):
-                if i != j:
-                    r = float(matrix[i][j])
-                    found[frozenset((members[i], members[j]))] = None if r != r else r
-    rows = [
-        (names[i], names[j], found.get(frozenset((names[i], names[j]))))
-        for i in range(len(names)) for j in range(i)
-    ]
+    means = numbers.agg(*[F.avg(c) for c in numbers.columns]).first()
+    # Values around their mean: the sums of squares then lose no digits.
+    around = [F.col(c) - F.lit(0.0 if m is None else m) for c, m in zip(numbers.columns, means)]
+    pairs = [(i, j) for i in range(len(names)) for j in range(i)]
+    moments = []
+    for i, j in pairs:
+        both = F.col(f"c{i}").isNotNull() & F.col(f"c{j}").isNotNull()
+        x, y = F.when(both, around[i]), F.when(both, around[j])
+        moments.append(F.array(F.covar_pop(x, y), F.var_pop(x), F.var_pop(y), F.min(x), F.max(x), F.min(y), F.max(y)))
+    row = numbers.agg(*moments).first() if pairs else []
+    rows = []
+    for (i, j), (cov, vx, vy, x0, x1, y0, y1) in zip(pairs, row):
+        varies = cov is not None and x0 < x1 and y0 < y1
+        rows.append((names[i], names[j], min(1.0, max(-1.0, cov / math.sqrt(vx * vy))) if varies else None))
     return spark.createDataFrame(rows, "a string, b string, r double")
 
 
@@ -300,7 +289,7 @@ def tenure_histogram(
 def churn_by_tenure(df: DataFrame, tenure: str = "tenure", target: str = TARGET) -> DataFrame:
     """(position, tenure_group, customers, churn_rate) for all six groups; rate 0 in an empty one."""
     rates = (
-        df.select(bin_ordinal(tenure, TENURE_BINS).alias("position"), is_yes(F.col(target)).alias("yes"))
+        df.select(bin_ordinal(tenure, TENURE_BINS).alias("position"), is_positive(df, target).alias("yes"))
         .where(F.col("position").isNotNull())
         .groupBy("position")
         .agg(
@@ -325,10 +314,10 @@ def churn_by_service(
     A missing value counts as without; a column without any 'Yes' is left out.
     """
     present = [c for c in columns if c in df.columns]
-    churned = is_yes(F.col("target")).cast("double") * 100
+    churned = F.col("target").cast("double") * 100
     has = is_yes(F.col("value"))
     return (
-        df.select(F.col(target).cast("string").alias("target"), *[F.col(c).cast("string").alias(c) for c in present])
+        df.select(is_positive(df, target).alias("target"), *[F.col(c).cast("string").alias(c) for c in present])
         .unpivot(["target"], present, "Service", "value")
         .groupBy("Service")
         .agg(

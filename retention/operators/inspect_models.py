@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 
 from ..config import CLASS_NAMES
 from ..sources.staging import new_path
+from .train import is_share_model
 from .voting import BoostVote
 
 
 def _strengths(model: Transformer) -> list[float] | None:
+    if is_share_model(model):
+        model = model.stages[0]
     if isinstance(model, LogisticRegressionModel):
         return [abs(float(c)) for c in model.coefficients]
     if hasattr(model, "featureImportances"):
@@ -77,6 +80,12 @@ def tree_nodes(
     Read from the table the model writer produces; a level is found by joining
     the children of the level above.
     """
+    shares = is_share_model(model)
+    model = model.stages[0] if shares else model
+    # A node of a regression tree on a 0/1 label holds the class share p; its gini impurity is 2 p (1 - p), twice the variance.
+    scale = F.lit(2.0 if shares else 1.0)
+    impurity = 2 * F.col("prediction") * (1 - F.col("prediction")) if shares else F.col("impurity")
+    predicted = (F.col("prediction") > 0.5 if shares else F.col("prediction")).cast("int")
     path = new_path(spark, "tree")
     model.write().save(path)
     nodes = spark.read.parquet(f"{path}/data")
@@ -86,9 +95,9 @@ def tree_nodes(
         "id",
         F.when(split, feature).alias("feature"),
         F.when(split, F.element_at("split.leftCategoriesOrThreshold", 1)).alias("threshold"),
-        "impurity",
-        F.element_at(F.array(*[F.lit(c) for c in class_names]), F.col("prediction").cast("int") + 1).alias("class"),
-        F.when(split, F.col("gain")).alias("gain"),
+        impurity.alias("impurity"),
+        F.element_at(F.array(*[F.lit(c) for c in class_names]), predicted + 1).alias("class"),
+        F.when(split, F.col("gain") * scale).alias("gain"),
         "leftChild",
         "rightChild",
     )

@@ -64,7 +64,11 @@ def full_metrics(
     counts = with_rates(confusion_counts(scored, keys, label, prediction))
     if score is None or score not in scored.columns:
         return counts
-    return counts.join(ranking_metrics(scored, keys, score, label), list(keys), "left")
+    ranked = ranking_metrics(scored, keys, score, label).withColumnsRenamed({k: f"__{k}" for k in keys})
+    same = F.lit(True)  # a missing key is a key of its own
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return counts.join(ranked, same, "left").drop(*[f"__{k}" for k in keys])
 
 
 def model_metrics(scored: DataFrame, keys: Sequence[str] = ("model",)) -> DataFrame:

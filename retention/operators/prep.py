@@ -49,6 +49,8 @@ def numeric_statistics(df: DataFrame, columns: Sequence[str], small_group: int =
         *[F.count(v).alias(f"n{i}") for i, v in enumerate(values.values())],
         *[F.avg(v).alias(f"mean{i}") for i, v in enumerate(values.values())],
         *[F.var_pop(v).alias(f"var{i}") for i, v in enumerate(values.values())],
+        *[F.min(v).alias(f"min{i}") for i, v in enumerate(values.values())],
+        *[F.max(v).alias(f"max{i}") for i, v in enumerate(values.values())],
     ).first()
     if max(moments[f"n{i}"] for i in range(len(columns))) <= small_group:
         row = df.agg(*[F.percentile(v, F.lit(0.5)).alias(f"med{i}") for i, v in enumerate(values.values())]).first()
@@ -61,6 +63,9 @@ def numeric_statistics(df: DataFrame, columns: Sequence[str], small_group: int =
         total, n = moments["rows"], moments[f"n{i}"]
         if not n:
             continue
+        if moments[f"min{i}"] == moments[f"max{i}"]:  # exact: rounding must not look like spread
+            rows.append((c, moments[f"min{i}"], moments[f"min{i}"], 0.0))
+            continue
         mean, variance, median = moments[f"mean{i}"], moments[f"var{i}"], medians[c]
         missing, delta = total - n, median - mean
         imputed = variance * n / total + delta * delta * n * missing / total / total

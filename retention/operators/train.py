@@ -16,19 +16,29 @@ from pyspark.ml import Estimator, Model, PipelineModel, Transformer
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable, MLWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DT_PARAMS, LABEL, LR_PARAMS, RF_PARAMS, SEED
 from .sampling import class_counts
-from .voting import HardVote, SoftVote, hard_vote, predict_soft, soft_vote
+from .voting import HardVote, ShareScore, SoftVote, hard_vote, predict_soft, soft_vote
 
 BASE_KINDS = ("lr", "dt", "rf")
 KINDS = (*BASE_KINDS, "ensemble")
 DEFAULTS = {"lr": LR_PARAMS, "dt": DT_PARAMS, "rf": RF_PARAMS, "ensemble": {"voting": "hard"}}
 DEEPEST = 30  # the deepest tree Spark ML grows
 MAX_BINS = 128
+# Parameter names each kind takes; any other name is refused. Without effect here: the solver, random_state of the
+# logistic regression, n_jobs and min_samples_split.
+_TREE_NAMES = {"max_depth", "min_samples_leaf", "min_samples_split", "criterion", "class_weight", "random_state", "max_bins"}
+PARAMETERS = {
+    "lr": {"C", "penalty", "l1_ratio", "max_iter", "tol", "class_weight", "solver", "random_state"},
+    "dt": _TREE_NAMES,
+    "rf": _TREE_NAMES | {"n_estimators", "max_features", "n_jobs"},
+    "ensemble": {"voting"},
+}
 
 
 def class_weight_table(df: DataFrame, label: str = LABEL) -> DataFrame:
@@ -81,7 +91,13 @@ class Classifier(Estimator, DefaultParamsReadable, DefaultParamsWritable):
 
 def fit_base(dataset, kind, options, counts, label=LABEL, features="features") -> Model:
     """Fit one of lr, dt, rf. ``counts`` holds the training rows per class."""
-    weights = balanced_weights(counts) if options.get("class_weight") == "balanced" else {}
+    given = options.get("class_weight")
+    if given == "balanced":
+        weights = balanced_weights(counts)
+    elif given is None:
+        weights = {}
+    else:  # a map; JSON turns its keys into text
+        weights = {int(c): float(w) for c, w in given.items()}
     weighted = dataset.where(F.col(label).isNotNull()).select(
         F.col(features), F.col(label).cast("double").alias(label),
         class_weight_column(weights, label).alias("class_weight"),
@@ -94,26 +110,43 @@ def fit_base(dataset, kind, options, counts, label=LABEL, features="features") -
             maxIter=int(options.get("max_iter", 1000)),
             # The penalty is per row in Spark ML; C scales the sum over all rows.
             regParam=0.0 if penalty is None else 1.0 / (float(options.get("C", 1.0)) * total),
-            elasticNetParam=1.0 if penalty == "l1" else 0.0,
+            elasticNetParam={"l1": 1.0, "elasticnet": float(options.get("l1_ratio") or 0.0)}.get(penalty, 0.0),
+            tol=float(options.get("tol", 1e-6)),
             standardization=False,
             **common,
         ).fit(weighted)
+    if kind not in ("dt", "rf"):
+        raise ValueError(f"Unsupported model type: {kind}")
     depth = options.get("max_depth")
     tree = {
         "maxDepth": DEEPEST if depth is None else int(depth),
         "minInstancesPerNode": int(options.get("min_samples_leaf", 1)),
-        "impurity": options.get("criterion", "gini"),
-        "maxBins": MAX_BINS,
+        "maxBins": int(options.get("max_bins", MAX_BINS)),
         "seed": int(options.get("random_state", SEED)),
         **common,
     }
-    if kind == "dt":
-        return DecisionTreeClassifier(**tree).fit(weighted)
+    forest = {}
     if kind == "rf":
-        return RandomForestClassifier(
-            numTrees=int(options.get("n_estimators", 100)), featureSubsetStrategy="sqrt", **tree
-        ).fit(weighted)
-    raise ValueError(f"Unsupported model type: {kind}")
+        subset = options.get("max_features", "sqrt")
+        forest = {"numTrees": int(options.get("n_estimators", 100)), "featureSubsetStrategy": "all" if subset is None else str(subset)}
+    criterion = options.get("criterion", "gini")
+    if criterion == "gini":
+        # The variance of a 0/1 label is half its gini impurity, so splits are the same, and a leaf's mean is its class
+        # share. A classifier would merge sister leaves of one majority and lose their shares.
+        learner = DecisionTreeRegressor if kind == "dt" else RandomForestRegressor
+        return share_model(learner(impurity="variance", **forest, **tree).fit(weighted))
+    learner = DecisionTreeClassifier if kind == "dt" else RandomForestClassifier
+    return learner(impurity=criterion, **forest, **tree).fit(weighted)
+
+
+def share_model(tree: Model) -> PipelineModel:
+    """A fitted regression tree or forest on a 0/1 label as a classifier."""
+    tree.setPredictionCol("share")
+    return PipelineModel([tree, ShareScore()])
+
+
+def is_share_model(model: Transformer) -> bool:
+    return isinstance(model, PipelineModel) and len(model.stages) == 2 and isinstance(model.stages[1], ShareScore)
 
 
 def create_model(kind: str, params: dict | None = None, label: str = LABEL, features: str = "features") -> Classifier:
@@ -121,6 +154,11 @@ def create_model(kind: str, params: dict | None = None, label: str = LABEL, feat
     if kind not in KINDS:
         raise ValueError(f"Unsupported model type: {kind}")
     options = DEFAULTS[kind] if params is None else params
+    unknown = sorted(set(options) - PARAMETERS[kind])
+    if unknown:
+        raise ValueError(f"{kind} has no parameter {', '.join(unknown)}")
+    if kind == "lr" and options.get("penalty", "l2") not in (None, "l1", "l2", "elasticnet"):
+        raise ValueError(f"Unsupported penalty: {options['penalty']}")
     return Classifier(kind=kind, settings=json.dumps(options), featuresCol=features, labelCol=label)
 
 
@@ -179,6 +217,12 @@ def vote_model(bases: Mapping[str, Transformer], voting: str) -> PipelineModel:
     """The fitted base models and a vote as one saveable model."""
     stages = []
     for name, model in bases.items():
+        if is_share_model(model):
+            tree = model.stages[0].copy()
+            tree.setPredictionCol(f"{name}_share")
+            columns = {"probabilityCol": f"{name}_probability", "predictionCol": f"{name}_prediction"}
+            stages += [tree, ShareScore(share=f"{name}_share", **columns)]
+            continue
         member = model.copy()
         member.setRawPredictionCol("")
         member.setProbabilityCol(f"{name}_probability")

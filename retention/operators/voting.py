@@ -67,6 +67,28 @@ class _Combine(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         })
 
 
+class ShareScore(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Turns the class share that a tree or forest predicts into a probability and a prediction."""
+
+    share = Param(Params._dummy(), "share", "column with the share of class 1", TypeConverters.toString)
+    probabilityCol = Param(Params._dummy(), "probabilityCol", "probability vector", TypeConverters.toString)
+    predictionCol = Param(Params._dummy(), "predictionCol", "class, empty for none", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, share="share", probabilityCol="probability", predictionCol="prediction"):
+        super().__init__()
+        self._setDefault(share="share", probabilityCol="probability", predictionCol="prediction")
+        self._set(**self._input_kwargs)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        share = self.getOrDefault(self.share)
+        p = F.least(F.greatest(F.col(share), F.lit(0.0)), F.lit(1.0))
+        added = {self.getOrDefault(self.probabilityCol): array_to_vector(F.array(F.lit(1.0) - p, p))}
+        if self.getOrDefault(self.predictionCol):
+            added[self.getOrDefault(self.predictionCol)] = predict_soft(p).cast("double")
+        return dataset.withColumns(added).drop(share)
+
+
 class HardVote(_Combine):
     """Majority of the predictions; has no probability."""
 

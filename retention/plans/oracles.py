@@ -405,8 +405,8 @@ def _single_statements() -> dict[str, str]:
     return {
         # sources and sinks
         "read_raw_table": _profile("SELECT * FROM profile"),
-        "write_split_tables": _split("SELECT customerID, Contract, tenure, Churn_Binary, split FROM split"),
-        "read_split_table": _split("SELECT customerID, Contract, tenure, Churn_Binary FROM split WHERE split = 'test'"),
+        "write_split_tables": _split("SELECT * FROM split"),
+        "read_split_table": _split("SELECT * EXCLUDE (split) FROM split WHERE split = 'test'"),
         "write_predictions": _scored(_PREDICTION_TABLE, SWEEP, BEST, _OPTIMAL),
         # cleaning
         "clean_table": _clean("SELECT * FROM clean"),
@@ -476,10 +476,14 @@ def _single_statements() -> dict[str, str]:
         "hard_vote": _scored("SELECT customerID, label, CAST(CASE WHEN d1 + d2 + d3 >= 2 THEN 1 ELSE 0 END AS INTEGER) AS prediction FROM wide", _WIDE),
         "soft_vote": _scored(
             f"SELECT customerID, label, {_r('(p1 + p2 + p3) / 3')} AS p, CAST((p1 + p2 + p3) / 3 > 0.5 AS INTEGER) AS prediction FROM wide", _WIDE),
+        "saturated_tree": _clean(
+            f"SELECT customerID, {_r('avg(CAST(Churn_Binary AS DOUBLE)) OVER (PARTITION BY Contract)', 9)} AS p FROM clean"),
+        "saturated_regression": _clean(
+            f"SELECT customerID, {_r('avg(CAST(Churn_Binary AS DOUBLE)) OVER (PARTITION BY Contract)', 4)} AS p FROM clean"),
         "boosting_reweight": _scored(
-            f"SELECT customerID, label, {_r('raised / sum(raised) OVER ()', 12)} AS weight FROM ("
-            "SELECT customerID, label, exp(-0.5 * (2 * label - 1) * (ln(p) - ln(1 - p))) / count(*) OVER () AS raised "
-            "FROM scored WHERE model = 'm1')"),
+            f"SELECT customerID, model, label, {_r('raised / sum(raised) OVER ()', 12)} AS weight FROM ("
+            "SELECT customerID, model, label, exp(-0.5 * (2 * label - 1) * (ln(p) - ln(1 - p))) / count(*) OVER () AS raised "
+            "FROM scored)"),
         # scoring
         "threshold_predictions": _scored("SELECT customerID, model, CAST(p >= 0.35 AS INTEGER) AS prediction FROM scored"),
         "optimal_predictions": _scored("SELECT customerID, Contract, model, label, p, prediction FROM optimal", SWEEP, BEST, _OPTIMAL),
@@ -522,7 +526,7 @@ def _single_statements() -> dict[str, str]:
         "threshold_sweep": _scored(
             f"SELECT model, threshold, {', '.join((_TP, _FP, _TN, _FN))}, {', '.join(f'{_r(n)} AS {n}' for n in _SWEEP_RATES)} FROM sweep", SWEEP),
         "best_threshold_on_grid": _scored(
-            f"SELECT model, metric, threshold, {_r('score')} AS score FROM best WHERE metric = 'f1'", SWEEP, BEST),
+            f"SELECT model, metric, threshold, {_r('score')} AS score FROM best", SWEEP, BEST),
         "optimal_thresholds": _scored(f"SELECT model, metric, threshold, {_r('score')} AS score FROM best", SWEEP, BEST),
         "best_threshold_over_scores": _scored(_union_best(["f1", "precision", "recall", "balanced_accuracy"])),
         "optimal_thresholds_by_segment": _with(

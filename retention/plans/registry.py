@@ -98,18 +98,15 @@ def read_raw_table(spark, d):
     return read_raw(spark, path).withColumn(ID_COLUMN, F.col(ID_COLUMN).cast("long"))
 
 
-SPLIT_COLUMNS = [ID_COLUMN, "Contract", "tenure", LABEL]
-
-
 def write_split_tables(spark, d):
     path = new_path(spark, "split")
-    write_split(split(spark, d, *SPLIT_COLUMNS), path)
+    write_split(split(spark, d), path)
     return read_split(spark, path)
 
 
 def read_split_table(spark, d):
     path = new_path(spark, "split")
-    write_split(split(spark, d, *SPLIT_COLUMNS), path)
+    write_split(split(spark, d), path)
     return read_split(spark, path, "test").drop("split")
 
 
@@ -204,7 +201,8 @@ def mode_impute(spark, d):
 
 def _encoded_long(table, preprocessor):
     encoded, model = prep.fit_and_encode(table, (ID_COLUMN, "split"), preprocessor)
-    return encoded.unpivot([ID_COLUMN, "split"], model.feature_names, "name", "value")
+    names = ["`" + n.replace("`", "``") + "`" for n in model.feature_names]
+    return encoded.unpivot([ID_COLUMN, "split"], [F.col(n) for n in names], "name", "value")
 
 
 def one_hot(spark, d):
@@ -266,10 +264,10 @@ def soft_vote(spark, d):
 
 
 def boosting_reweight(spark, d):
-    rows = scored_written(spark, d).where(F.col("model") == "m1")
+    rows = scored_written(spark, d)
     n = rows.agg(F.count(F.lit(1))).scalar()
     raised = boosting.reweight(rows.withColumn("weight", F.lit(1.0) / n))
-    return rounded(raised.select(ID_COLUMN, "label", "weight"), 12)
+    return rounded(raised.select(ID_COLUMN, "model", "label", "weight"), 12)
 
 
 def all_models(spark, d):
@@ -283,6 +281,17 @@ def model_job(spark, d):
     return jobs.model_job(jobs.data_job(customer_profile(spark, d), cfg), cfg).segments
 
 
+def saturated(kind: str, params: dict, digits: int) -> Query:
+    """A model of one category's dummies can fit the class share of every value, and must."""
+    def run(spark, d):
+        rows = written(spark, d, ID_COLUMN, "Contract", LABEL)
+        fitted = prep.Preprocessor(categorical=["Contract"], numerical=[]).fit(rows)
+        table = stage(fitted.transform(rows).select(ID_COLUMN, LABEL, "features"), "vectors")
+        scored_rows = tr.score(table, {kind: tr.create_model(kind, params).fit(table)})
+        return rounded(scored_rows.select(ID_COLUMN, "p"), digits)
+    return run
+
+
 # A small grid each: the grid is a parameter, the rows are whole.
 def tuned(search, grid) -> Query:
     def run(spark, d):
@@ -397,6 +406,8 @@ def queries() -> dict[str, Query]:
     return {
         "read_raw_table": read_raw_table,
         "write_split_tables": write_split_tables,
+        "saturated_tree": saturated("dt", {"max_depth": 8}, 9),
+        "saturated_regression": saturated("lr", {"penalty": None, "max_iter": 1000, "tol": 1e-12}, 4),
         "read_split_table": read_split_table,
         "write_predictions": written_predictions,
         "save_and_load_model": saved_and_loaded,
@@ -477,7 +488,7 @@ def queries() -> dict[str, Query]:
         "evaluation_job": evaluation_job,
         "threshold_sweep": lambda s, d: rounded(th.threshold_sweep(scored(s, d)), but=["threshold"]),
         "best_threshold_on_grid": lambda s, d: rounded(
-            th.best_on_grid(th.threshold_sweep(scored(s, d)), metrics=["f1"]), but=["threshold"]),
+            th.best_on_grid(th.threshold_sweep(scored(s, d))), but=["threshold"]),
         "optimal_thresholds": lambda s, d: rounded(th.optimal_thresholds(scored(s, d)), but=["threshold"]),
         "best_threshold_over_scores": best_over_scores,
         "optimal_thresholds_by_segment": lambda s, d: rounded(

@@ -6,21 +6,27 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..config import MISSING_TOKENS, RAW_NUMERIC_TYPES
 
 
-def read_raw(spark: SparkSession, path: str, file_format: str = "csv") -> DataFrame:
+# Quotes inside a quoted value are doubled, as spreadsheets and data frames write them.
+CSV = {"header": True, "quote": '"', "escape": '"'}
+
+
+def read_raw(spark: SparkSession, path: str, file_format: str = "csv", multi_line: bool = False) -> DataFrame:
     """The raw customer table by column name.
 
     CSV columns are read as text without an inference pass; missing-value tokens
     become null and the numeric columns are cast. A bad number becomes null, and
     so does a fraction in a whole-number column ("3.0" is a whole number).
     A blank " " is a value, not a missing token. Unknown columns stay text.
+    ``multi_line`` allows line breaks inside quoted values; such a file is read by one task.
     """
     if file_format != "csv":
         return spark.read.format(file_format).load(path)
-    raw = spark.read.option("header", True).csv(path)
+    raw = spark.read.options(**CSV, multiLine=multi_line).csv(path)
     columns = []
     for name in raw.columns:
         c = F.col(f"`{name}`")
@@ -36,7 +42,7 @@ def read_raw(spark: SparkSession, path: str, file_format: str = "csv") -> DataFr
 def write_raw_csv(df: DataFrame, path: str) -> str:
     """CSV with header that keeps blanks as they are."""
     (
-        df.write.option("header", True)
+        df.write.options(**CSV)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
@@ -48,16 +54,23 @@ def write_split(df: DataFrame, path: str, file_format: str = "parquet") -> dict[
     """Write rows that carry a ``split`` column, one folder per split; the label stays in its row."""
     writer = df.write.mode("overwrite").partitionBy("split").format(file_format)
     if file_format == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(**CSV)
     writer.save(path)
     return {name: f"{path}/split={name}" for name in ("train", "test")}
 
 
-def read_split(spark: SparkSession, path: str, split: str | None = None, file_format: str = "parquet") -> DataFrame:
-    """Rows of one split (only its folder is read) or of both."""
+def read_split(
+    spark: SparkSession, path: str, split: str | None = None, file_format: str = "parquet", schema: StructType | str | None = None
+) -> DataFrame:
+    """Rows of one split (only its folder is read) or of both.
+
+    Text files keep no types: give the ``schema`` of the written table (without ``split``), or all columns are text.
+    """
     reader = spark.read.format(file_format)
     if file_format == "csv":
-        reader = reader.option("header", True)
+        reader = reader.options(**CSV)
+    if schema is not None:
+        reader = reader.schema(schema)
     df = reader.load(path)
     return df.where(F.col("split") == split) if split else df
 
@@ -67,6 +80,6 @@ def write_predictions(df: DataFrame, folder: str, file_format: str = "csv", run_
     path = f"{folder.rstrip('/')}/test_predictions_{run_id or uuid.uuid4().hex}"
     writer = df.write.format(file_format)
     if file_format == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(**CSV)
     writer.save(path)
     return path
