@@ -78,7 +78,7 @@ def remove_lines(
         .withColumnRenamed("id", "key_id")
     )
     row = docs.select(F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("id"))
-    met = row.join(stage(dropped, "dropped-lines"), F.col("id").getField(id_col).eqNullSafe(F.col("key_id")), "left")
+    met = row.join(stage(dropped, "dropped-lines").hint("merge"), F.col("id").getField(id_col).eqNullSafe(F.col("key_id")), "left")
     old = _lines(F.col("id").getField(text_col).cast("string"))
     kept = F.filter(old, lambda line: ~F.array_contains(F.col("keys"), F.xxhash64(line)) | (F.trim(line) == ""))
     new = F.when(F.col("keys").isNull(), F.col("id").getField(text_col)).otherwise(F.array_join(kept, "\n"))
