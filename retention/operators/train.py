@@ -213,21 +213,24 @@ def run_parallel(tasks: Sequence, threads: int) -> list:
         return list(pool.map(call, tasks))
 
 
+def member_stages(model: Transformer, probability: str, prediction: str) -> list[Transformer]:
+    """Stages that write a fitted model's scores to the named columns and nothing else."""
+    if is_share_model(model):
+        tree = model.stages[0].copy()
+        tree.setPredictionCol(f"{probability}_share")
+        return [tree, ShareScore(share=f"{probability}_share", probabilityCol=probability, predictionCol=prediction)]
+    member = model.copy()
+    member.setRawPredictionCol("")
+    member.setProbabilityCol(probability)
+    member.setPredictionCol(prediction)
+    return [member]
+
+
 def vote_model(bases: Mapping[str, Transformer], voting: str) -> PipelineModel:
     """The fitted base models and a vote as one saveable model."""
     stages = []
     for name, model in bases.items():
-        if is_share_model(model):
-            tree = model.stages[0].copy()
-            tree.setPredictionCol(f"{name}_share")
-            columns = {"probabilityCol": f"{name}_probability", "predictionCol": f"{name}_prediction"}
-            stages += [tree, ShareScore(share=f"{name}_share", **columns)]
-            continue
-        member = model.copy()
-        member.setRawPredictionCol("")
-        member.setProbabilityCol(f"{name}_probability")
-        member.setPredictionCol(f"{name}_prediction")
-        stages.append(member)
+        stages += member_stages(model, f"{name}_probability", f"{name}_prediction")
     vote = SoftVote if voting == "soft" else HardVote
     return PipelineModel([*stages, vote(names=list(bases))])
 

@@ -65,9 +65,9 @@ def test_factory(linear):
     with pytest.raises(ValueError):
         tr.create_model("svm")
     shallow = tr.create_model("dt", {"max_depth": 1}).fit(linear)
-    assert shallow.depth == 1 and tr.create_model("dt").fit(linear).depth == 5
-    assert tr.create_model("rf", {"n_estimators": 7, "max_depth": 2}).fit(linear).getNumTrees == 7
-    assert tr.create_model("dt", {"max_depth": None}).fit(linear).depth > 5
+    assert shallow.stages[0].depth == 1 and tr.create_model("dt").fit(linear).stages[0].depth == 5
+    assert tr.create_model("rf", {"n_estimators": 7, "max_depth": 2}).fit(linear).stages[0].getNumTrees == 7
+    assert tr.create_model("dt", {"max_depth": None}).fit(linear).stages[0].depth > 5
 
 
 def test_stripes_need_depth_and_boosting_finds_them(stripes):
@@ -84,7 +84,7 @@ def test_a_perfect_tree_ends_the_boosting(spark):
         array_to_vector(F.array(F.col("id").cast("double"))).alias("features"),
     )
     model = boosting.train_boosted(df, rounds=9)
-    assert len(model.stages) == 2 and accuracy(model, df) == 1.0
+    assert len(model.stages) == 3 and accuracy(model, df) == 1.0
 
 
 def test_reweight(spark):
@@ -168,7 +168,7 @@ def test_grid_search(linear):
     for r in rows:
         mean.setdefault(r.parameters, []).append(r.f1)
     assert sum(mean[str(best)]) == max(sum(v) for v in mean.values())
-    assert model.depth <= best["max_depth"]
+    assert model.stages[0].depth <= best["max_depth"]
 
 
 def test_cross_validation(spark):
