@@ -213,3 +213,31 @@ def clean(
     """The documents that are not contaminated, with all their columns."""
     out = _searched(with_rows(docs, text_col), benchmark, window, block_chars, item_id, item_text)
     return restored(out.filter(~_judged(share)), docs.columns)
+
+
+_CAPITALS = "".join(map(chr, range(0x41, 0x5B)))
+
+
+def _sql_words(column: str) -> str:
+    lower = f"translate(coalesce({column}, ''), '{_CAPITALS}', '{_CAPITALS.lower()}')"
+    return rf"regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+ORACLE = f"""
+WITH d AS (SELECT doc_id, {_sql_words('text')} AS w FROM documents),
+b AS (SELECT DISTINCT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_sql_words('text')} AS w FROM benchmark),
+s AS (SELECT item, w, least({WINDOW}, len(w)) AS n FROM b WHERE len(w) > 0),
+si AS (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM s),
+win AS (SELECT DISTINCT item, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS k FROM si),
+sizes AS (SELECT DISTINCT n FROM win),
+di AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n),
+dk AS (SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS k FROM di),
+hit AS (SELECT doc_id, dk.n, i, item FROM dk JOIN win ON dk.n = win.n AND dk.k = win.k),
+place AS (SELECT DISTINCT doc_id, n, i FROM hit),
+pos AS (SELECT doc_id, unnest(range(i, i + n)) AS p FROM place),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM pos GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND {SHARE} * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN it ON d.doc_id = it.doc_id
+"""

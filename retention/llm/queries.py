@@ -68,7 +68,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit",
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        "contaminated", "longest",
+        "contaminated",
     )
 
 
@@ -88,4 +88,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": exact_dedup.ORACLE, "op9_line_dedup": line_dedup.ORACLE}
+    return {
+        "op6_exact_dedup": exact_dedup.ORACLE,
+        "op8_decontamination": decontaminate.ORACLE,
+        "op9_line_dedup": line_dedup.ORACLE,
+    }
