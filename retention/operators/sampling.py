@@ -10,6 +10,7 @@ partitioning.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -47,13 +48,14 @@ def class_counts(df: DataFrame, label: str = LABEL) -> dict[int, int]:
 
 def fit_cuts(
     df: DataFrame,
-    ranks: Callable[[int], list[int]],
+    ranks: Callable[[int, int], list[int]],
     id_column: str = ID_COLUMN,
     label: str = LABEL,
     seed: int = SEED,
     max_bucket_rows: int = MAX_BUCKET_ROWS,
+    counts: dict[int, int] | None = None,
 ) -> list[Cut]:
-    """The cut at each rank of ``ranks(n)`` in every class of n rows.
+    """The cut at each rank of ``ranks(class, n)`` in every class of n rows. ``counts`` are the classes' rows if known.
 
     Only buckets that hold a wanted rank are looked at again, with longer
     prefixes, until each is small enough to be sorted as one group. Copies of
@@ -65,8 +67,8 @@ def fit_cuts(
     # (class, prefix) -> [(wanted rank, rows of the class before the prefix)]
     open_buckets: dict[tuple[int, str], list[tuple[int, int]]] = {}
     ready: dict[tuple[int, str], list[tuple[int, int]]] = {}
-    for c, n in sorted(class_counts(df, label).items()):
-        targets = [(r, 0) for r in ranks(n) if 0 < r <= n]
+    for c, n in sorted((class_counts(df, label) if counts is None else counts).items()):
+        targets = [(r, 0) for r in ranks(c, n) if 0 < r <= n]
         if targets:
             (ready if n <= max_bucket_rows else open_buckets)[c, ""] = targets
     length = 0
@@ -152,8 +154,14 @@ def _at_or_before(cut: Cut, id_column: str, label: str, seed: int) -> Column:
     )
 
 
-def rows_for_test(n: int, test_size: float) -> int:
-    return int(n * test_size + 0.5)
+def rows_for_test(counts: dict[int, int], test_size: float) -> dict[int, int]:
+    """Test rows per class: ceil(test_size * all rows) in total, shared out by largest remainder."""
+    exact = {c: n * test_size for c, n in counts.items()}
+    shares = {c: math.floor(x) for c, x in exact.items()}
+    missing = min(math.ceil(sum(counts.values()) * test_size), sum(counts.values())) - sum(shares.values())
+    for c in sorted(exact, key=lambda c: (shares[c] - exact[c], c))[: max(0, missing)]:
+        shares[c] += 1
+    return shares
 
 
 def stratified_split(
@@ -164,11 +172,13 @@ def stratified_split(
     label: str = LABEL,
     **limits,
 ) -> DataFrame:
-    """Add ``split``: in every class the first round(test_size * n) rows are 'test'.
+    """Add ``split``: in every class the first rows are 'test', ceil(test_size * n) of all rows in total.
 
     Rows without a label cannot be stratified and get a null split.
     """
-    cuts = fit_cuts(df, lambda n: [rows_for_test(n, test_size)], id_column, label, seed, **limits)
+    counts = class_counts(df, label)
+    shares = rows_for_test(counts, test_size)
+    cuts = fit_cuts(df, lambda c, n: [shares[c]], id_column, label, seed, counts=counts, **limits)
     in_test = F.lit(False)
     for cut in cuts:
         in_test = in_test | _at_or_before(cut, id_column, label, seed)
@@ -190,7 +200,7 @@ def stratified_folds(
     **limits,
 ) -> DataFrame:
     """Add ``fold`` 0 … k-1: equal stretches of every class, sizes differ by at most one row."""
-    cuts = fit_cuts(df, lambda n: fold_ranks(n, k), id_column, label, seed, **limits)
+    cuts = fit_cuts(df, lambda c, n: fold_ranks(n, k), id_column, label, seed, **limits)
     # A class smaller than k yields equal ranks; count how many cuts lie before the row.
     fold = F.lit(0)
     for c in sorted({cut.label for cut in cuts}):

@@ -77,8 +77,12 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY Churn_Binary ORDER BY md5('42|' || CAST(customerID AS VARCHAR)), customerID) AS rk,
          count(*) OVER (PARTITION BY Churn_Binary) AS nc
   FROM clean),
+exact AS (SELECT Churn_Binary AS c, count(*) * CAST(0.3 AS DOUBLE) AS x FROM clean GROUP BY Churn_Binary),
+quota AS (
+  SELECT c, floor(x) + CASE WHEN row_number() OVER (ORDER BY x - floor(x) DESC, c)
+         <= ceil((SELECT count(*) FROM clean) * CAST(0.3 AS DOUBLE)) - sum(floor(x)) OVER () THEN 1 ELSE 0 END AS q FROM exact),
 split AS (
-  SELECT * EXCLUDE (rk, nc), CASE WHEN rk <= floor(nc * CAST(0.3 AS DOUBLE) + 0.5) THEN 'test' ELSE 'train' END AS split FROM ranked),
+  SELECT * EXCLUDE (rk, nc), CASE WHEN rk <= (SELECT q FROM quota WHERE c = Churn_Binary) THEN 'test' ELSE 'train' END AS split FROM ranked),
 folds AS (
   SELECT * EXCLUDE (rk, nc), CAST(CAST(rk > nc * 1 // 5 AS INTEGER) + CAST(rk > nc * 2 // 5 AS INTEGER)
          + CAST(rk > nc * 3 // 5 AS INTEGER) + CAST(rk > nc * 4 // 5 AS INTEGER) AS INTEGER) AS fold FROM ranked)"""

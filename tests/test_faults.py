@@ -122,3 +122,12 @@ def test_local_session_without_a_folder(spark, monkeypatch):
     conf = {"spark.checkpoint.dir": None}
     monkeypatch.setattr(type(spark.conf), "get", lambda self, key, *d: conf.get(key, *d))
     assert staging.shared_folder(spark) == staging.shared_folder(spark)
+
+
+@pytest.mark.parametrize("n0, n1, want", [(5, 5, 3), (15, 15, 9), (7, 3, 3), (1, 1, 1), (10, 0, 3)])
+def test_split_has_the_size_of_its_share(spark, n0, n1, want):
+    from retention.operators import sampling
+
+    rows = [(i, int(i >= n0)) for i in range(n0 + n1)]
+    split = sampling.stratified_split(spark.createDataFrame(rows, "customerID long, Churn_Binary int"), 0.3)
+    assert split.where("split = 'test'").count() == want

@@ -32,7 +32,9 @@ def by_hand(n, cut):
 
 @pytest.mark.parametrize("max_bucket_rows", [10_000, 50, 1])
 def test_split_is_exact_and_independent_of_partitions(spark, max_bucket_rows):
-    want = by_hand(3000, lambda r, n: "test" if r <= int(n * 0.3 + 0.5) else "train")
+    counts = sa.class_counts(labelled(spark))
+    shares = {counts[c]: q for c, q in sa.rows_for_test(counts, 0.3).items()}
+    want = by_hand(3000, lambda r, n: "test" if r <= shares[n] else "train")
     for parts in (1, 7):
         rows = sa.stratified_split(labelled(spark, parts=parts), max_bucket_rows=max_bucket_rows).collect()
         assert {r.customerID: r.split for r in rows} == want
