@@ -6,6 +6,8 @@ none of the bucketing, sketches or cuts that the operators use.
 
 from __future__ import annotations
 
+# Column roles and labels, as in config.py.
+CLASSES = ["Not Churn", "Churn"]
 CATEGORICAL = [
     "gender", "SeniorCitizen", "Partner", "Dependents", "PhoneService", "MultipleLines", "InternetService",
     "OnlineSecurity", "OnlineBackup", "DeviceProtection", "TechSupport", "StreamingTV", "StreamingMovies",
@@ -114,6 +116,11 @@ def _clean(body: str, *more: str) -> str:
     return _with(body, PROFILE, CLEAN, *more)
 
 
+def _share(digits: int) -> str:
+    """The class share of the customer's contract."""
+    return _clean(f"SELECT customerID, {_r('avg(CAST(Churn_Binary AS DOUBLE)) OVER (PARTITION BY Contract)', digits)} AS p FROM clean")
+
+
 def _split(body: str, *more: str) -> str:
     return _with(body, PROFILE, CLEAN, RANKED, *more)
 
@@ -480,10 +487,23 @@ def _single_statements() -> dict[str, str]:
         "hard_vote": _scored("SELECT customerID, label, CAST(CASE WHEN d1 + d2 + d3 >= 2 THEN 1 ELSE 0 END AS INTEGER) AS prediction FROM wide", _WIDE),
         "soft_vote": _scored(
             f"SELECT customerID, label, {_r('(p1 + p2 + p3) / 3')} AS p, CAST((p1 + p2 + p3) / 3 > 0.5 AS INTEGER) AS prediction FROM wide", _WIDE),
-        "saturated_tree": _clean(
-            f"SELECT customerID, {_r('avg(CAST(Churn_Binary AS DOUBLE)) OVER (PARTITION BY Contract)', 9)} AS p FROM clean"),
-        "saturated_regression": _clean(
-            f"SELECT customerID, {_r('avg(CAST(Churn_Binary AS DOUBLE)) OVER (PARTITION BY Contract)', 4)} AS p FROM clean"),
+        "saturated_tree": _share(9),
+        "saturated_regression": _share(4),
+        "saturated_soft_vote": _share(4),
+        "saturated_reload": _share(4),
+        "saturated_boosting": _share(9),
+        "saturated_coefficients": _clean(
+            f"SELECT 'Contract_' || Contract AS feature, {_r('odds - base', 3)} AS coefficient, {_r('abs(odds - base)', 3)} AS absolute_importance "
+            "FROM (SELECT *, first_value(odds) OVER (ORDER BY Contract) AS base, row_number() OVER (ORDER BY Contract) AS k FROM ("
+            "SELECT Contract, ln(avg(CAST(Churn_Binary AS DOUBLE)) / (1 - avg(CAST(Churn_Binary AS DOUBLE)))) AS odds FROM clean GROUP BY Contract)) WHERE k > 1"),
+        "stump_nodes": _clean(
+            f"SELECT id, depth, parent, feature, threshold, {_r('2 * p * (1 - p)', 9)} AS impurity, CASE WHEN p > 0.5 THEN '{CLASSES[1]}' ELSE '{CLASSES[0]}' END AS class, "
+            f"{_r('gain', 9)} AS gain FROM ("
+            "SELECT 0 AS id, 0 AS depth, CAST(NULL AS INTEGER) AS parent, 'Partner_Yes' AS feature, CAST(0.5 AS DOUBLE) AS threshold, p, "
+            "2 * p * (1 - p) - (SELECT sum(share * 2 * p * (1 - p)) FROM side) AS gain FROM whole "
+            "UNION ALL SELECT CASE WHEN Partner = 'No' THEN 1 ELSE 2 END, 1, 0, NULL, NULL, p, NULL FROM side)",
+            "whole AS (SELECT avg(CAST(Churn_Binary AS DOUBLE)) AS p, count(*) AS n FROM clean)",
+            "side AS (SELECT Partner, avg(CAST(Churn_Binary AS DOUBLE)) AS p, count(*) / CAST((SELECT n FROM whole) AS DOUBLE) AS share FROM clean GROUP BY Partner)"),
         "boosting_reweight": _scored(
             f"SELECT customerID, model, label, {_r('raised / sum(raised) OVER ()', 12)} AS weight FROM ("
             "SELECT customerID, model, label, exp(-0.5 * (2 * label - 1) * (ln(p) - ln(1 - p))) / count(*) OVER () AS raised "

@@ -281,17 +281,56 @@ def model_job(spark, d):
     return jobs.model_job(jobs.data_job(customer_profile(spark, d), cfg), cfg).segments
 
 
-def saturated(kind: str, params: dict, digits: int) -> Query:
+SATURATED = {
+    "dt": {"max_depth": 8},
+    "lr": {"penalty": None, "max_iter": 1000, "tol": 1e-12},
+}
+
+
+def dummies_of(spark, d, column: str):
+    """All customers with the dummies of one category as vector, and the names of the dummies."""
+    rows = written(spark, d, ID_COLUMN, column, LABEL)
+    fitted = prep.Preprocessor(categorical=[column], numerical=[]).fit(rows)
+    return stage(fitted.transform(rows).select(ID_COLUMN, LABEL, "features"), "vectors"), fitted.feature_names
+
+
+def saturated(fit, digits: int) -> Query:
     """A model of one category's dummies can fit the class share of every value, and must."""
     def run(spark, d):
-        rows = written(spark, d, ID_COLUMN, "Contract", LABEL)
-        fitted = prep.Preprocessor(categorical=["Contract"], numerical=[]).fit(rows)
-        table = stage(fitted.transform(rows).select(ID_COLUMN, LABEL, "features"), "vectors")
-        scored_rows = tr.score(table, {kind: tr.create_model(kind, params).fit(table)})
-        return rounded(scored_rows.select(ID_COLUMN, "p"), digits)
+        table, _ = dummies_of(spark, d, "Contract")
+        return rounded(tr.score(table, {"m": fit(spark, table)}).select(ID_COLUMN, "p"), digits)
     return run
 
 
+def saturated_model(kind: str):
+    return lambda spark, table: tr.create_model(kind, SATURATED[kind]).fit(table)
+
+
+def saturated_vote(spark, table):
+    return tr.train_voting(table, {k: tr.create_model(k, SATURATED[k]) for k in SATURATED}, "soft")
+
+
+def saturated_boosting(spark, table):
+    return boosting.train_boosted(table, rounds=1, max_depth=8)
+
+
+def saturated_reload(spark, table):
+    model = saturated_vote(spark, table)
+    return tr.load_model(spark, tr.save_model(model, "vote", new_path(spark, "models")))
+
+
+def saturated_coefficients(spark, d):
+    table, names = dummies_of(spark, d, "Contract")
+    model = tr.create_model("lr", SATURATED["lr"]).fit(table)
+    return rounded(im.coefficient_table(spark, model, names), 3)
+
+
+def stump_nodes(spark, d):
+    """The three nodes of a tree that can only split on one dummy."""
+    table, names = dummies_of(spark, d, "Partner")
+    return rounded(im.tree_nodes(spark, tr.create_model("dt", {"max_depth": 1}).fit(table), names), 9)
+
+
 # A small grid each: the grid is a parameter, the rows are whole.
 def tuned(search, grid) -> Query:
     def run(spark, d):
@@ -406,8 +445,13 @@ def queries() -> dict[str, Query]:
     return {
         "read_raw_table": read_raw_table,
         "write_split_tables": write_split_tables,
-        "saturated_tree": saturated("dt", {"max_depth": 8}, 9),
-        "saturated_regression": saturated("lr", {"penalty": None, "max_iter": 1000, "tol": 1e-12}, 4),
+        "saturated_tree": saturated(saturated_model("dt"), 9),
+        "saturated_regression": saturated(saturated_model("lr"), 4),
+        "saturated_soft_vote": saturated(saturated_vote, 4),
+        "saturated_reload": saturated(saturated_reload, 4),
+        "saturated_boosting": saturated(saturated_boosting, 9),
+        "saturated_coefficients": saturated_coefficients,
+        "stump_nodes": stump_nodes,
         "read_split_table": read_split_table,
         "write_predictions": written_predictions,
         "save_and_load_model": saved_and_loaded,
