@@ -16,7 +16,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.staging import broadcast_if_small
+from ..sources.staging import stage
 
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 10_000
@@ -81,7 +81,8 @@ def running_counts(
         )
 
     splits = [float("-inf"), *bounds, float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol="score", outputCol="range").transform(counts)
+    # Written once: the totals and the curve both read it, and the distinct scores are shuffled only once for the two.
+    ranged = stage(Bucketizer(splits=splits, inputCol="score", outputCol="range").transform(counts), "score-counts")
     totals = ranged.groupBy(*keys, "range").agg(
         F.sum("pos").alias("range_pos"),
         F.sum("neg").alias("range_neg"),
@@ -101,7 +102,7 @@ def running_counts(
         (F.row_number().over(down) == 1).alias("top_range"),
     )
     within = Window.partitionBy(*keys, "range").orderBy(F.desc("score"))
-    return ranged.join(broadcast_if_small(offsets), [*keys, "range"]).select(
+    return ranged.join(offsets, [*keys, "range"]).select(
         *keys,
         "score",
         "pos",

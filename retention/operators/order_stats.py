@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SMALL_GROUP = 1_000_000
-MAX_GROUPS = 10_000
 SKETCH_ACCURACY = 10_000
 GRID = [j / 1000.0 for j in range(1001)]
 
@@ -54,19 +53,22 @@ def exact_quantiles(
 ) -> DataFrame:
     """(keys…, n, q: array<double>), linear interpolation between neighbouring values.
 
-    ``keys`` must name classes, not identifiers: there may be 10,000 groups.
+    Any number of groups: only those of more than ``small_group`` rows, of which there are
+    few whatever the table, are listed on the driver.
     """
     keys = list(keys)
-    sizes = (
-        values.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).limit(MAX_GROUPS + 1).collect()
+    counted = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    sizes = counted.where(F.col("n") > small_group).collect()  # at most rows / small_group
+    small = values
+    if sizes:
+        large = values.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in sizes], values.select(*keys).schema)
+        small = values.join(F.broadcast(large), keys, "left_anti")
+    direct = small.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.percentile("value", F.array(*[F.lit(float(p)) for p in probabilities])).alias("q"),
     )
-    if len(sizes) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups; quantiles are taken per class")
-    if max((r["n"] for r in sizes), default=0) <= small_group:
-        return values.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile("value", F.array(*[F.lit(float(p)) for p in probabilities])).alias("q"),
-        )
+    if not sizes:
+        return direct
 
     targets: list[_Target] = []
     plan = []  # (key, n, [(tid below, tid above, share), …])
@@ -86,7 +88,7 @@ def exact_quantiles(
         for key, n, parts in plan
     ]
     schema = values.select(*keys).schema.add("n", T.LongType()).add("q", T.ArrayType(T.DoubleType()))
-    return values.sparkSession.createDataFrame(rows, schema)
+    return direct.unionByName(values.sparkSession.createDataFrame(rows, schema))
 
 
 def _values_at_ranks(values, keys, targets, small_group, accuracy) -> dict[int, float]:
@@ -97,7 +99,7 @@ def _values_at_ranks(values, keys, targets, small_group, accuracy) -> dict[int,
     done: dict[int, float] = {}
     open_targets = list(targets)
     while open_targets:
-        # At most 2 x probabilities x MAX_GROUPS rows: bounded, hence broadcast.
+        # At most 2 x probabilities x rows / small_group rows: a tiny share of the table, hence broadcast.
         todo = F.broadcast(
             spark.createDataFrame([(*t.key, t.tid, t.rank, t.lo, t.hi) for t in open_targets], schema)
         )

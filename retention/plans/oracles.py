@@ -524,6 +524,7 @@ def _single_statements() -> dict[str, str]:
         "metrics_by_segment": _segments("Contract IS NOT NULL"),
         "metrics_by_encoded_segment": _segments("Contract <> (SELECT min(Contract) FROM scored)"),
         "roc_auc": _scored(f"SELECT model, {_r('auc', 9)} AS auc FROM ranking", _curve("model")),
+        "roc_auc_in_ranges": _scored(f"SELECT model, {_r('auc', 9)} AS auc FROM ranking", _curve("model")),
         "average_precision": _scored(f"SELECT model, {_r('average_precision', 9)} AS average_precision FROM ranking", _curve("model")),
         "roc_curve": _scored(
             f"SELECT model, {_r('CAST(fp AS DOUBLE) / n_neg', 9)} AS fpr, {_r('CAST(tp AS DOUBLE) / n_pos', 9)} AS tpr, score AS threshold FROM steps "
@@ -581,6 +582,10 @@ def _single_statements() -> dict[str, str]:
             f"SELECT feature, target, CAST(n AS BIGINT) AS n, {_r('q1')} AS q1, {_r('med')} AS median, {_r('q3')} AS q3, "
             f"{_r('least(min(v) FILTER (WHERE near), q1)')} AS low_whisker, {_r('greatest(max(v) FILTER (WHERE near), q3)')} AS high_whisker, "
             "CAST(count(*) FILTER (WHERE NOT near) AS BIGINT) AS n_outliers FROM placed GROUP BY feature, target, n, q1, med, q3", BOX),
+        "box_statistics_in_rounds": _clean(
+            f"SELECT feature, target, CAST(n AS BIGINT) AS n, {_r('q1')} AS q1, {_r('med')} AS median, {_r('q3')} AS q3, "
+            f"{_r('least(min(v) FILTER (WHERE near), q1)')} AS low_whisker, {_r('greatest(max(v) FILTER (WHERE near), q3)')} AS high_whisker, "
+            "CAST(count(*) FILTER (WHERE NOT near) AS BIGINT) AS n_outliers FROM placed GROUP BY feature, target, n, q1, med, q3", BOX),
         "box_outliers": _clean(
             f"SELECT feature, target, {_r('v')} AS value, CAST(count(*) AS BIGINT) AS count FROM placed WHERE NOT near GROUP BY feature, target, v", BOX),
         "density": _clean(

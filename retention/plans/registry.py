@@ -520,6 +520,11 @@ def queries() -> dict[str, Query]:
             me.segment_metrics(scored_written(s, d), "Contract"), "auc", "average_precision"),
         "metrics_by_encoded_segment": by_encoded_segment,
         "roc_auc": lambda s, d: rounded(curves.ranking_metrics(scored_written(s, d), ["model"]).select("model", "auc"), 9),
+        # The paths for many rows, on ranges and groups small enough to be entered here.
+        "roc_auc_in_ranges": lambda s, d: rounded(
+            curves.ranking_metrics(scored_written(s, d), ["model"], rows_per_range=50).select("model", "auc"), 9),
+        "box_statistics_in_rounds": six(
+            lambda s, d: eda.box_statistics(written(s, d, *NUMERICAL_FEATURES, TARGET), small_group=100)),
         "average_precision": lambda s, d: rounded(
             curves.ranking_metrics(scored_written(s, d), ["model"]).select("model", "average_precision"), 9),
         "roc_curve": lambda s, d: rounded(curves.roc_curve(scored_written(s, d), ["model"]), 9, but=["threshold"]),

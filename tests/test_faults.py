@@ -131,3 +131,12 @@ def test_split_has_the_size_of_its_share(spark, n0, n1, want):
     rows = [(i, int(i >= n0)) for i in range(n0 + n1)]
     split = sampling.stratified_split(spark.createDataFrame(rows, "customerID long, Churn_Binary int"), 0.3)
     assert split.where("split = 'test'").count() == want
+
+
+def test_quantiles_of_many_groups_and_of_large_ones_together(spark):
+    from retention.operators import order_stats
+
+    rows = spark.range(60_000).selectExpr("CAST(CASE WHEN id < 30000 THEN id % 20000 ELSE -1 END AS STRING) AS feature", "CAST(id % 977 AS DOUBLE) AS value")
+    got = {r["feature"]: (r["n"], r["q"]) for r in order_stats.exact_quantiles(rows, ["feature"], [0.25, 0.5], small_group=1000).collect()}
+    want = rows.groupBy("feature").agg(F.count("*").alias("n"), F.percentile("value", F.array(F.lit(0.25), F.lit(0.5))).alias("q"))
+    assert got == {r["feature"]: (r["n"], r["q"]) for r in want.collect()} and len(got) == 20_001
