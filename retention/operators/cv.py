@@ -6,6 +6,7 @@ import logging
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.ml import Estimator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from .sampling import stratified_folds
 from .train import BASE_KINDS, Classifier, run_parallel, score, vote_model
 
 log = logging.getLogger(__name__)
+MODEL_FAULTS = (ValueError, TypeError, RuntimeError, IllegalArgumentException, AnalysisException)
 
 
 def fold_scores(
@@ -63,7 +65,7 @@ def _fit_models(models, train, threads, failed) -> dict:
     def attempt(name, estimator):
         try:
             return estimator.fit(train)
-        except Exception as e:
+        except MODEL_FAULTS as e:  # a lost executor or a full disk is none and ends the job
             log.error("cross-validation of %s failed: %s", name, e)
             failed.add(name)
             return None
