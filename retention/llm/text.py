@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,10 +39,10 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Itera
     """(ids, texts) in runs of about ``limit`` bytes of text, one text at least."""
     for batch in batches:
         texts = batch.column(1)
-        sizes = np.asarray(texts.cast(pa.large_binary()).to_numpy(zero_copy_only=False), dtype=object)
+        sizes = pc.binary_length(texts).to_pylist()
         start, held = 0, 0
-        for i, value in enumerate(sizes):
-            held += len(value)
+        for i, size in enumerate(sizes):
+            held += size
             if held >= limit or i + 1 == len(sizes):
                 yield batch.column(0).slice(start, i + 1 - start), texts.slice(start, i + 1 - start).to_pylist()
                 start, held = i + 1, 0
