@@ -88,6 +88,14 @@ def test_held_out_texts_are_not_learnt(spark):
     assert all(a[i] == b[i] for i in a if learns(i))
 
 
+def test_language_model_without_rows_or_training(spark):
+    assert lm_mixing.score_texts(spark.createDataFrame([], SCHEMA)).count() == 0
+    held = next(i for i in range(100) if not learns(i))
+    got = lm_mixing.score_texts(spark.createDataFrame([(held, "a b")], "doc_id long, text string")).collect()
+    assert len(got) == 1 and got[0]["train_tokens"] == 0 and got[0]["n_known"] == 0 and got[0]["base_score"] == 0.0
+    assert math.isfinite(got[0]["score"])
+
+
 # --- quality --------------------------------------------------------------------------------------------------
 
 
