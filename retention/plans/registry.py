@@ -276,6 +276,17 @@ def all_models(spark, d):
     return jobs.model_job(jobs.data_job(customer_profile(spark, d), cfg), cfg).scored
 
 
+def scored_invariants(spark, d):
+    """What must hold for every test customer, whatever the four fitted models say."""
+    p, said, vote = F.col("p"), F.col("prediction"), F.col("model") == "ensemble"
+    return all_models(spark, d).groupBy(ID_COLUMN, "label").agg(
+        F.count(F.lit(1)).alias("n_models"),
+        F.bool_and(F.coalesce(p.between(0, 1), vote)).alias("in_range"),
+        F.bool_and(F.coalesce(said == (p > 0.5).cast("int"), vote)).alias("consistent"),
+        (F.max(F.when(vote, said)) == (F.sum(F.when(~vote, said)) >= 2).cast("int")).alias("majority"),
+    )
+
+
 def model_job(spark, d):
     cfg = jobs.JobConfig(save_output=False, output_dir=new_path(spark, "job"))
     return jobs.model_job(jobs.data_job(customer_profile(spark, d), cfg), cfg).segments
@@ -445,6 +456,7 @@ def queries() -> dict[str, Query]:
     return {
         "read_raw_table": read_raw_table,
         "write_split_tables": write_split_tables,
+        "scored_invariants": scored_invariants,
         "saturated_tree": saturated(saturated_model("dt"), 9),
         "saturated_regression": saturated(saturated_model("lr"), 4),
         "saturated_soft_vote": saturated(saturated_vote, 4),
