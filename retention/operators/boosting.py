@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import LABEL, SEED
-from ..sources.staging import stage
+from ..sources.staging import stage_for_now
 from .train import MAX_BINS
 from .voting import BoostVote, ShareScore, log_odds
 
@@ -42,7 +42,7 @@ class BoostedTrees(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     """The margin (sum of log odds so far) of every row is kept as a column; a
     weight is exp(exponent - largest exponent), which cannot overflow. Every few
     rounds the rows are written to the shared folder, so the plan stays short
-    and a lost executor does not replay earlier rounds."""
+    and a lost executor does not replay earlier rounds; the copy before is deleted."""
 
     rounds = Param(Params._dummy(), "rounds", "number of trees", TypeConverters.toInt)
     learningRate = Param(Params._dummy(), "learningRate", "step size", TypeConverters.toFloat)
@@ -65,7 +65,7 @@ class BoostedTrees(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         get = self.getOrDefault
         rate, rounds = get(self.learningRate), get(self.rounds)
         features, label = get(self.featuresCol), get(self.labelCol)
-        rows = stage(
+        rows, delete = stage_for_now(
             dataset.where(F.col(label).isNotNull()).select(
                 F.col(features).alias("features"),
                 F.col(label).cast("double").alias("label"),
@@ -102,11 +102,14 @@ class BoostedTrees(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             if i + 1 == rounds:
                 break
             if (i + 1) % get(self.stageEvery) == 0:
-                moved = stage(moved, "boost")
+                moved, delete_moved = stage_for_now(moved, "boost")
+                delete()  # the new copy needs the old one no more
+                delete = delete_moved
             error, largest = moved.agg(F.sum(F.col("weight") * F.col("wrong")), F.max(exponent)).first()
             if not error:  # a perfect tree ends the rounds
                 break
             rows = moved.select("features", "label", "margin")
+        delete()
         return PipelineModel([*members, BoostVote(names=[f"tree{i}" for i in range(len(members) // 2)])])
 
 

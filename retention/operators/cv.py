@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CV_FOLDS, CV_METRICS, ID_COLUMN, LABEL, SEED
-from ..sources.staging import stage
+from ..sources.staging import stage, stage_for_now
 from .metrics import full_metrics
 from .prep import Preprocessor
 from .sampling import stratified_folds
@@ -39,23 +39,27 @@ def fold_scores(
     fold's own lr, dt and rf, which are fitted once. A model that fails in any
     fold is logged and left out.
     """
-    folded = stage(stratified_folds(df, k, seed, label=label), "folds", partition_by="fold")
+    folded, delete_folds = stage_for_now(stratified_folds(df, k, seed, label=label), "folds", partition_by="fold")
     failed: set[str] = set()
 
     def one_fold(f: int) -> DataFrame | None:
         prep = (preprocessor or Preprocessor()).fit(folded.where(F.col("fold") != f))
-        encoded = stage(
+        encoded, delete_encoded = stage_for_now(
             prep.transform(folded).select(ID_COLUMN, "fold", label, "features"), "fold", partition_by="fold"
         )
         fitted = _fit_models(models, encoded.where(F.col("fold") != f), threads, failed)
         if not fitted:
+            delete_encoded()
             return None
         part = F.when(F.col("fold") == f, "test").otherwise("train")
         rows = encoded if train_scores else encoded.where(F.col("fold") == f)
         rows = rows.withColumn("part", part).withColumn("fold", F.lit(f))
-        return stage(score(rows, fitted, label), "scores")
+        scores = stage(score(rows, fitted, label), "scores")
+        delete_encoded()  # only the scores are read from now on
+        return scores
 
     parts = [p for p in run_parallel([lambda f=f: one_fold(f) for f in range(k)], fold_threads) if p is not None]
+    delete_folds()
     if not parts:
         raise ValueError("no model could be fitted")
     return reduce(DataFrame.unionByName, parts).where(~F.col("model").isin(sorted(failed)))

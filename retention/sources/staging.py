@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,14 +34,26 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/retention/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def stage_for_now(df: DataFrame, name: str, partition_by: str | None = None) -> tuple[DataFrame, Callable[[], None]]:
+    """Like ``stage``, with a function that deletes the written files once nothing reads them any more."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
+
+    def delete() -> None:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+    return stage(df, name, partition_by, path), delete
+
+
+def stage(df: DataFrame, name: str, partition_by: str | None = None, path: str | None = None) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
     Cuts the lineage like a checkpoint, and later readers keep column pruning
     and filter pushdown. A lost executor re-reads files and recomputes nothing.
     With ``partition_by`` a reader of one value opens its files only.
     """
-    path = new_path(df.sparkSession, name)
+    path = path or new_path(df.sparkSession, name)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])

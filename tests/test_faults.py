@@ -140,3 +140,13 @@ def test_quantiles_of_many_groups_and_of_large_ones_together(spark):
     got = {r["feature"]: (r["n"], r["q"]) for r in order_stats.exact_quantiles(rows, ["feature"], [0.25, 0.5], small_group=1000).collect()}
     want = rows.groupBy("feature").agg(F.count("*").alias("n"), F.percentile("value", F.array(F.lit(0.25), F.lit(0.5))).alias("q"))
     assert got == {r["feature"]: (r["n"], r["q"]) for r in want.collect()} and len(got) == 20_001
+
+
+def test_boosting_leaves_no_copies(spark, two_shares):
+    import os
+
+    folder = staging.shared_folder(spark).removeprefix("file:") + "/retention"
+    boosts = lambda: {f for f in os.listdir(folder) if f.startswith("boost-")} if os.path.isdir(folder) else set()
+    before = boosts()
+    boosting.BoostedTrees(rounds=6, maxDepth=1, stageEvery=2).fit(two_shares)
+    assert boosts() == before
