@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retention.sources.staging import stage
+from retention.sources.staging import stage_for_now
 
 ROUNDS = 60
 
@@ -34,20 +34,23 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates the two star steps until the links stay as they are; the rounds grow with
     the logarithm of the nodes. Every round is written to the shared folder, so a lost
-    executor replays one round at most, and only two numbers per round reach the driver.
+    executor replays one round at most, and only two numbers per round reach the driver. The
+    round before is deleted.
     """
     def seen(df: DataFrame):
         row = df.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         return row["n"], row["h"]
 
     directed = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    edges = stage(_fewest(directed), "links")
+    edges, delete = stage_for_now(_fewest(directed), "links")
     before = seen(edges)
     for _ in range(ROUNDS):
         if not before[0]:
             break
-        edges = stage(_star(_star(edges, True), False), "links")
+        edges, delete_next = stage_for_now(_star(_star(edges, True), False), "links")
         now = seen(edges)
+        delete()  # the round before is read no more
+        delete = delete_next
         if now == before:
             break
         before = now
