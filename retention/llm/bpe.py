@@ -42,6 +42,7 @@ BLOCK = 512
 KEPT_PIECES = 500_000
 LONG_PIECE = 48
 MOST_IDS = 8_000_000
+BLOCK_BYTES = 1_000_000
 
 
 @lru_cache(maxsize=1)
@@ -236,7 +237,7 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
-        for keys, texts in blocks(batches):
+        for keys, texts in blocks(batches, BLOCK_BYTES):
             ids, ends, offsets = encoder.encode(texts)
             yield pa.RecordBatch.from_arrays([keys, list_array(ids, offsets), list_array(ends, offsets)], ["id", "ids", "ends"])
 
