@@ -52,7 +52,7 @@ def small_model(texts):
     shifted, _, _ = lm_mixing.laid_out(lines, code)
     known = np.flatnonzero(shifted)
     for table, context in zip(tables, lm_mixing.contexts(shifted, lm_mixing.ORDERS)):
-        np.add.at(table, context[known] + shifted[known] - 1, 1)
+        np.add.at(table, context[known] * lm_mixing.SYMBOLS + shifted[known] - 1, 1)
     odds = [lm_mixing.log_odds(t.reshape(-1, lm_mixing.SYMBOLS), code).reshape(-1) for t in tables]
     return lm_mixing.Model(code, odds, {}, 1, 1)
 
