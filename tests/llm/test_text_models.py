@@ -88,6 +88,36 @@ def test_held_out_texts_are_not_learnt(spark):
     assert all(a[i] == b[i] for i in a if learns(i))
 
 
+def test_no_two_contexts_share_counts(spark, monkeypatch):
+    rnd = random.Random(11)
+    texts = {i: "".join(rnd.choice("abcdefgh ") for _ in range(3000)) for i in range(120)}
+    got = {r["doc_id"]: r["score"] for r in lm_mixing.score_texts(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    lines = {i: lm_mixing.canonical(t)[1] for i, t in texts.items()}
+    learnt = [line for i, line in lines.items() if learns(i)]
+    code = lm_mixing.Code(np.bincount(np.frombuffer(b"".join(learnt), np.uint8), minlength=256))
+    shifted, _, _ = lm_mixing.laid_out(learnt, code)
+    raw, rows, odds = shifted.tobytes(), [], []
+    for order in lm_mixing.ORDERS:
+        seen = {}
+        for i in np.flatnonzero(shifted).tolist():
+            seen.setdefault(raw[i - order : i], Counter())[raw[i] - 1] += 1
+        counts = np.zeros((len(seen) + 1, lm_mixing.SYMBOLS), np.int64)  # the first row is for contexts never seen
+        for row, found in enumerate(seen.values(), 1):
+            for symbol, n in found.items():
+                counts[row, symbol] = n
+        rows.append({c: row for row, c in enumerate(seen, 1)})
+        odds.append(lm_mixing.log_odds(counts, code).reshape(-1))
+
+    def exact(shifted, orders):
+        raw = shifted.tobytes()
+        return [np.array([r.get(raw[i - o : i], 0) if i >= o else 0 for i in range(len(raw))], np.int32) for o, r in zip(orders, rows)]
+
+    monkeypatch.setattr(lm_mixing, "contexts", exact)
+    some = [*range(8), *[i for i in texts if not learns(i)][:8]]
+    want = lm_mixing.Model(code, odds, {}, 1, 1).score([lines[i] for i in some])
+    assert np.allclose([got[i] for i in some], want, rtol=1e-5)
+
+
 def test_language_model_without_rows_or_training(spark):
     assert lm_mixing.score_texts(spark.createDataFrame([], SCHEMA)).count() == 0
     held = next(i for i in range(100) if not learns(i))
