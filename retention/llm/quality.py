@@ -1,8 +1,8 @@
 """Quality classifier: logistic regression on hashed word n-grams, trained by follow-the-regularised-leader.
 
-A text's features are its words and punctuation runs, and the pairs and triples of
-their shapes (capitals, digits, the punctuation itself, same word as before), hashed into
-``2 ** bits`` columns; a feature's value is its share of the text, so a score is a sparse dot
+A text's features are its words and punctuation runs, the pairs and triples of them, and the
+pairs and triples of their shapes (capitals, digits, the punctuation itself, same word as before),
+hashed into ``2 ** bits`` columns; a feature's value is its share of the text, so a score is a sparse dot
 product, computed as the mean weight of the features that occur.
 
 Only training fits on a sample: at most about ``max_rows`` labelled rows, taken evenly by a
@@ -44,6 +44,7 @@ KEPT_WORDS = 300_000
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 LOWER, TITLE, UPPER, MIXED, DIGITS, SAME = range(1, 7)
 ONE, TWO, THREE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
+FOUR = np.uint64(0xD6E8FEB86659FD93)
 
 
 def _shape(word: str) -> int:
@@ -80,11 +81,12 @@ class Features(dict):
         shape[1:][word[1:] == word[:-1]] += np.uint64(SAME << 21)
         with np.errstate(over="ignore"):
             grams = [word * ONE]
-            if len(words) > 1:
-                pair = (shape[:-1] * TWO + shape[1:]) * ONE
-                grams.append(pair * THREE)
-                if len(words) > 2:
-                    grams.append((pair[:-1] * TWO + shape[2:]) * THREE)
+            for part, kind in ((word, FOUR), (shape, THREE)):
+                if len(words) > 1:
+                    pair = (part[:-1] * TWO + part[1:]) * ONE
+                    grams.append(pair * kind)
+                    if len(words) > 2:
+                        grams.append((pair[:-1] * TWO + part[2:]) * kind)
             return (np.concatenate(grams) >> self.shift).astype(np.int64)
 
 

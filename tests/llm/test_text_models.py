@@ -156,6 +156,23 @@ def test_quality_on_held_out_rows(spark):
     assert np.mean([r["predicted"] == labels[r["doc_id"]][1] for r in quality.score(docs, bounded).collect()]) > 0.9
 
 
+def test_quality_sees_how_words_are_combined(spark):
+    rnd = random.Random(5)
+    rows, labels = [], []
+    for i in range(400):
+        good, pairs = rnd.random() < 0.5, ["red car", "blue sky"] if i % 2 else ["old tree", "new house"]
+        if not good:  # the same words and shapes, combined otherwise
+            first, second = zip(*(p.split() for p in pairs))
+            pairs = [f"{a} {b}" for a, b in zip(first, reversed(second))]
+        rows.append((i, " and ".join(rnd.sample(pairs, 2) * rnd.randint(1, 4))))
+        labels.append((i, int(good), 0))
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    weights = quality.train(docs, known, may_train=quality.not_held_out())
+    got = {r["doc_id"]: r["score"] >= 0.5 for r in quality.score(docs, weights).collect()}
+    held = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert sum(got[i] == labels[i][1] for i in held) >= 0.97 * len(held)
+
+
 def test_quality_of_odd_rows_and_no_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     weights = quality.train(odd_table(spark), none)
