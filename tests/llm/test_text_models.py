@@ -81,6 +81,15 @@ def test_adapting_helps_and_seen_text_is_cheaper():
     assert score(seen) > score(fresh)
 
 
+def test_weights_change_within_a_short_text(monkeypatch):
+    model = small_model(["the cat sat on the mat", "the dog sat on the log"])
+    line = lm_mixing.canonical("the cat sat on the log")[1]
+    adapted = model.score([line, line[:2]])
+    monkeypatch.setattr(lm_mixing, "RATE", 0.0)
+    fixed = model.score([line, line[:2]])
+    assert not np.isclose(adapted[0], fixed[0], rtol=1e-4) and not np.isclose(adapted[1], fixed[1], rtol=1e-6)
+
+
 def test_held_out_texts_are_not_learnt(spark):
     rows = [(i, f"word{i % 7} and word{i % 3}") for i in range(60)]
     changed = [(i, t if learns(i) else "entirely different words here") for i, t in rows]
