@@ -244,7 +244,7 @@ def soft_voting(spark, d):
 
 def boosted(spark, d):
     train, test, _ = train_test(spark, d)
-    return tr.score(test, {"boosted": boosting.train_boosted(train, rounds=6)})
+    return tr.score(test, {"boosted": boosting.train_boosted(train)})
 
 
 def votes(spark, d):
@@ -342,11 +342,11 @@ def stump_nodes(spark, d):
     return rounded(im.tree_nodes(spark, tr.create_model("dt", {"max_depth": 1}).fit(table), names), 9)
 
 
-# A small grid each: the grid is a parameter, the rows are whole.
-def tuned(search, grid) -> Query:
+def tuned(search) -> Query:
+    """All grid points and folds of the search's defaults."""
     def run(spark, d):
         rows, _ = vectors(spark, d)
-        return search(rows, grid, 3)[2]
+        return search(rows)[2]
     return run
 
 
@@ -370,17 +370,11 @@ def best_over_scores(spark, d):
 
 
 def cross_validated(spark, d):
-    models = {
-        "lr": tr.create_model("lr"),
-        "dt": tr.create_model("dt"),
-        "rf": tr.create_model("rf", {"n_estimators": 20, "max_depth": 5, "class_weight": "balanced"}),
-        "ensemble": tr.create_model("ensemble"),
-    }
-    return cv.cross_validate(models, cleaned(spark, d), 3)
+    return cv.cross_validate({kind: tr.create_model(kind) for kind in tr.KINDS}, cleaned(spark, d))
 
 
 def evaluation_job(spark, d):
-    cfg = jobs.JobConfig(models=("lr", "dt"), cv_folds=3, save_models=False, save_output=False)
+    cfg = jobs.JobConfig(save_models=False, save_output=False)
     data = jobs.data_job(customer_profile(spark, d), cfg)
     return jobs.evaluation_job(data, jobs.model_job(data, cfg), cfg).predictions
 
@@ -423,12 +417,27 @@ def _row_counts(spark, tables, folder):
     return reduce(DataFrame.unionByName, counts)
 
 
+def _contents(spark, paths):
+    """(table_name, row): every row of the written tables, as JSON with all columns."""
+    tables = [
+        spark.read.parquet(p).select(
+            F.lit(name).alias("table_name"), F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row")
+        )
+        for name, p in paths.items()
+    ]
+    return reduce(DataFrame.unionByName, tables)
+
+
 def eda_job(spark, d):
     """Rows per exploratory table that the job wrote."""
     table = written(spark, d)
     return _row_counts(spark, eda.eda_tables(table), new_path(spark, "eda"))
 
 
+def eda_job_contents(spark, d):
+    return _contents(spark, jobs.write_tables(eda.eda_tables(written(spark, d)), new_path(spark, "eda")))
+
+
 def report_job(spark, d):
     """Rows per model table that the job wrote."""
     rows = scored_written(spark, d)
@@ -436,12 +445,17 @@ def report_job(spark, d):
     return _row_counts(spark, jobs.report_tables(rows, me.model_metrics(rows), summary), new_path(spark, "report"))
 
 
+def report_job_contents(spark, d):
+    rows = scored_written(spark, d)
+    summary = cv.cv_summary(cv.fold_metrics(fold_scored(spark, d)))
+    tables = jobs.report_tables(rows, me.model_metrics(rows), summary)
+    return _contents(spark, jobs.write_tables(tables, new_path(spark, "report")))
+
+
 def whole_job(spark, d):
-    """The whole job on the customer table; its comparison of models."""
-    cfg = jobs.JobConfig(
-        models=("lr", "dt"), cv_folds=2, run_eda=False, output_dir=new_path(spark, "job"),
-    )
-    return jobs.run_job(customer_profile(spark, d), cfg).report["model_comparison"]
+    """The whole job on the customer table; the contents of all tables that it wrote."""
+    cfg = jobs.JobConfig(output_dir=new_path(spark, "job"))
+    return _contents(spark, jobs.run_job(customer_profile(spark, d), cfg).table_paths)
 
 
 def contract_report(spark, d):
@@ -510,13 +524,9 @@ def queries() -> dict[str, Query]:
         "model_factory": trained("dt", {"max_depth": 3}),
         "train_and_score_all": all_models,
         "model_job": model_job,
-        "tune_logistic_regression": tuned(
-            tuning.tune_logistic_regression,
-            {"C": [0.1, 1.0], "penalty": ["l1", "l2"], "class_weight": ["balanced"], "max_iter": [50]}),
-        "tune_decision_tree": tuned(
-            tuning.tune_decision_tree, {"max_depth": [3, 5], "min_samples_leaf": [1, 4], "class_weight": ["balanced"]}),
-        "tune_random_forest": tuned(
-            tuning.tune_random_forest, {"n_estimators": [10], "max_depth": [3, 5], "class_weight": [None, "balanced"]}),
+        "tune_logistic_regression": tuned(tuning.tune_logistic_regression),
+        "tune_decision_tree": tuned(tuning.tune_decision_tree),
+        "tune_random_forest": tuned(tuning.tune_random_forest),
         "hard_vote": hard_vote,
         "soft_vote": soft_vote,
         "boosting_reweight": boosting_reweight,
@@ -574,6 +584,8 @@ def queries() -> dict[str, Query]:
         "churn_by_service_long": six(lambda s, d: eda.service_long(eda.churn_by_service(cleaned(s, d)))),
         "eda_job": eda_job,
         "report_job": report_job,
+        "eda_job_contents": eda_job_contents,
+        "report_job_contents": report_job_contents,
         "whole_job": whole_job,
         "contract_report": contract_report,
     }

@@ -228,3 +228,48 @@ def test_predictions_without_an_id_get_an_index(spark, linear):
     assert sorted(r.Index for r in rows) == list(range(4000))
     assert all(r.dt_optimal_prediction == int(r.dt_probability >= 0.25) for r in rows)
     assert not any(math.isnan(r.dt_probability) for r in rows)
+
+
+def test_training_queries_run_the_operators_defaults(spark, monkeypatch):
+    from retention import config
+    from retention.operators import boosting, cv, tuning
+    from retention.plans import jobs, registry
+
+    seen, found = {}, registry.queries()
+    results = spark.range(1)
+    monkeypatch.setattr(registry, "vectors", lambda s, d: (None, None))
+    monkeypatch.setattr(registry, "train_test", lambda s, d: (None, None, None))
+    monkeypatch.setattr(registry, "cleaned", lambda s, d: None)
+    monkeypatch.setattr(registry, "customer_profile", lambda s, d: None)
+    monkeypatch.setattr(registry.tr, "score", lambda test, models: results)
+    monkeypatch.setattr(tuning, "grid_search", lambda kind, df, grid, k: seen.update({kind: (grid, k)}) or (None, None, results))
+    monkeypatch.setattr(boosting, "BoostedTrees", lambda **o: seen.update(rounds=o["rounds"]) or type("B", (), {"fit": lambda *_: None})())
+    monkeypatch.setattr(cv, "fold_scores", lambda models, df, k, **o: seen.update(cv=(models, k)) or results)
+    monkeypatch.setattr(cv, "fold_metrics", lambda *a: results)
+    monkeypatch.setattr(jobs, "data_job", lambda raw, cfg: None)
+    monkeypatch.setattr(jobs, "model_job", lambda data, cfg: None)
+    monkeypatch.setattr(jobs, "evaluation_job", lambda d, m, cfg: seen.update(evaluation=cfg) or type("E", (), {"predictions": results}))
+    monkeypatch.setattr(jobs, "run_job", lambda raw, cfg: seen.update(whole=cfg) or type("J", (), {"table_paths": {}, "report": {"model_comparison": results}}))
+    monkeypatch.setattr(registry, "_contents", lambda s, paths: results, raising=False)
+    for name in ("tune_logistic_regression", "tune_decision_tree", "tune_random_forest", "train_boosted", "cross_validate", "evaluation_job", "whole_job"):
+        found[name](spark, "")
+    folds = config.CV_FOLDS
+    assert (seen["lr"], seen["dt"], seen["rf"]) == ((config.LR_GRID, folds), (config.DT_GRID, folds), (config.RF_GRID, folds))
+    assert seen["rounds"] == 50
+    models, k = seen["cv"]
+    assert set(models) == set(tr.KINDS) and k == folds
+    for cfg in (seen["evaluation"], seen["whole"]):
+        assert tuple(cfg.models) == tuple(tr.KINDS) and cfg.cv_folds == folds and cfg.run_cv and cfg.run_thresholds
+    assert seen["whole"].run_eda
+
+
+def test_contents_of_the_written_tables(spark, sf_dir):
+    from collections import Counter
+
+    from retention.plans import registry
+
+    for job in ("eda_job", "report_job"):
+        rows = registry.queries()[f"{job}_contents"](spark, sf_dir).collect()
+        counts = {r["table_name"]: r["n_rows"] for r in registry.queries()[job](spark, sf_dir).collect()}
+        assert Counter(r["table_name"] for r in rows) == Counter({name: n for name, n in counts.items() if n})
+        assert all(r["row"].startswith("{") for r in rows)
