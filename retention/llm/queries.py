@@ -9,10 +9,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retention.llm import bpe, decontaminate, exact_dedup, licenses, line_dedup, lm_mixing, pii, quality, simhash, token_counts
+from retention.llm import (
+    alignment, bpe, decontaminate, exact_dedup, licenses, line_dedup, lm_mixing, phrases, pii, quality, secret_scan, simhash,
+    token_counts,
+)
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
 PIECE_BPE = "piece_bpe_32k.model"
+BYTE_BPE_JSON = "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,7 +84,23 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE))
 
 
-QUERIES = (op1_byte_bpe, op2_lm_scores, op3_quality, op4_personal_data, op5_licenses, op6_exact_dedup, op7_simhash, op8_decontamination, op9_line_dedup, op10_token_counts)
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digests(table(spark, sf_dir, "documents"))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.alignment_counts(docs, public_tokenizers.path(BYTE_BPE_JSON), public_tokenizers.path(PIECE_BPE))
+
+
+QUERIES = (
+    op1_byte_bpe, op2_lm_scores, op3_quality, op4_personal_data, op5_licenses, op6_exact_dedup, op7_simhash, op8_decontamination,
+    op9_line_dedup, op10_token_counts, op11_secret_scan, op12_phrases, op13_alignment,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -92,4 +112,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_exact_dedup": exact_dedup.ORACLE,
         "op8_decontamination": decontaminate.ORACLE,
         "op9_line_dedup": line_dedup.ORACLE,
+        "op12_phrases": phrases.ORACLE,
     }

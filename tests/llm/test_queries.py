@@ -15,6 +15,8 @@ COLUMNS = {
     "op8_decontamination": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
     "op9_line_dedup": ["doc_id", "n_lines", "n_removed", "text"],
     "op10_token_counts": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
+    "op11_secret_scan": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
+    "op13_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
 }
 
 
