@@ -7,10 +7,15 @@ place of the longer n-gram among the reversed ones is kept beside it, so that ex
 are counted there. Rows are sorted by as many words as the longest n-gram has: the intervals of n-grams
 up to that length are the same as with whole suffixes.
 
-The shards' counts are added up by language and n-gram. Tasks combine before the shuffle, so a frequent
-n-gram arrives as one row per task. A null language counts as ``und``; a null or empty text has no
-words; repeated rows and rows of equal id count each; an empty table gives an empty table. Columns other
-than the language and the text are not read. A long text is one shard's part as a whole.
+The shards' counts are added up by language and n-gram. Most n-grams are rare, so where only frequent
+ones are asked for, a first pass adds up counts by a 64-bit hash of the n-gram: a sum below the limit
+proves that the n-gram is rare. The second pass extends only what is left and sends words. Two n-grams
+of one hash may both be left over and fall at their own counts. The hashes left are broadcast after they
+were counted (at most ``FEW_HASHES``); more of them are joined by their hash.
+
+A null language counts as ``und``; a null or empty text has no words; repeated rows and rows of equal id
+count each; an empty table gives an empty table. Columns other than the language and the text are not
+read. A long text is one shard's part as a whole.
 """
 
 from __future__ import annotations
@@ -21,6 +26,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,43 +34,62 @@ from retention.llm.text import blocks
 from retention.sources.staging import broadcast_if_small, stage_for_now
 
 SHARD_BYTES = 8_000_000
+BATCH_ROWS = 50_000
+FEW_HASHES = 8_000_000
 NO_LANG = "und"
 LONGEST, LEAST, TOP, SHARE = 3, 10, 2000, 50
 #: Lower-cases A-Z, makes the ends of pieces full stops and tabs blanks; a full stop is then never part of a word.
 TOKEN_TABLE = bytes(b + 32 if 0x41 <= b <= 0x5A else 0x2E if b in b".,;:!?\n\x0b\x0c\r" else 0x20 if b == 9 else b for b in range(256))
-END = b"."
-
-
-def tokens(text: str) -> list[bytes]:
-    """The words in order, with ``END`` behind every piece."""
-    raw = text.encode().translate(TOKEN_TABLE).replace(END, b" . ")
-    return [w for w in raw.split(b" ") if w] + [END]
+END, BLANK = 0x2E, 0x20
+ODD_1, ODD_2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+
+
+def coded_words(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """(names, ids): the distinct words, and the texts as ids from 1 on with a 0 behind every piece that has words."""
+    raw = np.frombuffer(("\n".join(texts) + "\n").encode().translate(TOKEN_TABLE), np.uint8)
+    in_word = (raw != END) & (raw != BLANK)
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], in_word, [False]])))
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    words = pa.Array.from_buffers(
+        pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(raw[in_word])]
+    ).dictionary_encode()
+    piece = np.cumsum(raw == END)[starts]
+    ids = np.zeros(len(starts) + (piece[-1] + 1 if len(starts) else 1), np.int64)
+    cut = np.cumsum(np.diff(piece, prepend=piece[:1]) > 0)  # ends of pieces before every word
+    ids[np.arange(len(starts)) + cut] = np.asarray(words.indices) + 1
+    return words.dictionary.cast(pa.large_string()), ids[: len(starts) + (cut[-1] + 1 if len(starts) else 1)]
 
 
 class FMIndex:
     """Counts of the words before any interval of rows, for rows sorted by their first ``depth`` words.
 
     ``ids`` are words from 1 on, and 0 where a piece ends; the sequence must end with 0 and is read as a circle.
+    Rows alike in these words stand in any order: no interval of up to ``depth`` words depends on it.
     """
 
     def __init__(self, ids: np.ndarray, depth: int):
-        n = len(ids)
-        order = np.arange(n)
-        for k in reversed(range(depth)):  # stable passes from the last word to the first
-            order = order[np.argsort(np.roll(ids, -k)[order], kind="stable")]
+        n, width = len(ids), int(ids.max()) + 1
+        key, top = ids, width
+        for k in range(1, depth):
+            if top * width >= 2**62:
+                key = np.unique(key, return_inverse=True)[1]
+                top = int(key.max()) + 1
+            key, top = key * width + np.roll(ids, -k), top * width
+        order = np.argsort(key)
         self.n = n
         self.bwt = ids[order - 1]  # the word before each row
         self.first = np.concatenate([[0], np.cumsum(np.bincount(ids))])
-        by_word = np.argsort(self.bwt, kind="stable")
-        self.keys = self.bwt[by_word] * n + by_word
+        self.keys = np.sort(self.bwt * n + np.arange(n))
+        self.ends = np.concatenate([[0], np.cumsum(self.bwt == 0)])
 
     def rank(self, word: np.ndarray, row: np.ndarray) -> np.ndarray:
         """How often ``word`` stands before the rows ahead of ``row``."""
         return np.searchsorted(self.keys, word * self.n + row) - self.first[word]
 
-    def extend(self, word: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The intervals of the n-grams with ``word`` put in front."""
-        return self.first[word] + self.rank(word, low), self.first[word] + self.rank(word, high)
+    def inside(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """How many rows of each interval have a word of their own piece before them."""
+        return high - low - self.ends[high] + self.ends[low]
 
 
 class Grams(NamedTuple):
@@ -76,76 +101,156 @@ class Grams(NamedTuple):
     right: np.ndarray
 
 
-def ngrams(ids: np.ndarray, longest: int) -> Iterator[Grams]:
-    """All n-grams of 1 to ``longest`` words that hold no 0."""
+def ngrams(ids: np.ndarray, longest: int, wanted=None) -> Iterator[Grams]:
+    """All n-grams of 1 to ``longest`` words that hold no 0.
+
+    ``wanted`` tells which rows of ``words`` to keep; what it drops is not extended.
+    """
     forward, backward = FMIndex(ids, longest), FMIndex(np.append(ids[-2::-1], 0), longest)
-    words = np.arange(1, len(forward.first) - 1)[:, None]
+    width = len(forward.first)
+    words = np.arange(1, width - 1)[:, None]
     low, high = forward.first[1:-1], forward.first[2:]
     back_low, back_high = backward.first[1:-1], backward.first[2:]
     there = high > low
     words, low, high, back_low, back_high = (x[there] for x in (words, low, high, back_low, back_high))
     while True:
-        ends = np.zeros(len(low), np.int64)
-        starts = forward.rank(ends, high) - forward.rank(ends, low)
-        stops = backward.rank(ends, back_high) - backward.rank(ends, back_low)
+        if wanted is not None:
+            kept = wanted(words)
+            words, low, high, back_low, back_high = (x[kept] for x in (words, low, high, back_low, back_high))
         counts = high - low
-        yield Grams(words, counts, counts - starts, counts - stops)
+        yield Grams(words, counts, forward.inside(low, high), backward.inside(back_low, back_high))
         if words.shape[1] == longest or not len(low):
             return
         # Every (n-gram, word before one of its occurrences) once, in the order of the n-grams.
         parent = np.repeat(np.arange(len(low)), counts)
         rows = np.arange(len(parent)) - np.repeat(np.cumsum(counts) - counts, counts) + low[parent]
-        pairs, sizes = np.unique(parent * len(forward.first) + forward.bwt[rows], return_counts=True)
-        parent, word = np.divmod(pairs, len(forward.first))
+        pairs = np.sort(parent * width + forward.bwt[rows])
+        new = np.flatnonzero(np.diff(pairs, prepend=-1))
+        parent, word = np.divmod(pairs[new], width)
+        sizes = np.diff(new, append=len(pairs))
         # Reversed, the n-gram is followed by the word: its rows stand behind those followed by smaller ones.
         done = np.cumsum(sizes) - sizes
         begins = np.searchsorted(parent, np.arange(len(low)))
-        back = back_low[parent] + done - done[begins[parent]]
+        back_low = back_low[parent] + done - done[begins[parent]]
         inside = word > 0
-        parent, word, back, sizes = parent[inside], word[inside], back[inside], sizes[inside]
+        parent, word, back_low, sizes = parent[inside], word[inside], back_low[inside], sizes[inside]
         words = np.column_stack([word, words[parent]])
-        low, high = forward.extend(word, low[parent], high[parent])
-        back_low, back_high = back, back + sizes
+        low = forward.first[word] + forward.rank(word, low[parent])
+        high, back_high = low + sizes, back_low + sizes
 
 
-def _shard(words: list[bytes], longest: int) -> Iterator[list[pa.Array]]:
-    """(phrase, words, n, with_left, with_right) of one shard, one list of columns per length."""
-    coded = pa.array(words, pa.binary()).dictionary_encode()
-    names, ids = coded.dictionary.cast(pa.string()), np.asarray(coded.indices, np.int64)
-    end = pc.index(coded.dictionary, pa.scalar(END, pa.binary())).as_py()
-    place = np.arange(len(names))  # ids with 0 for the end of a piece
-    place[end], place[0] = 0, end
-    for found in ngrams(place[ids], longest):
-        parts = [names.take(pa.array(place[found.words[:, i]])) for i in range(found.words.shape[1])]
-        phrase = pc.binary_join_element_wise(*parts, " ") if len(parts) > 1 else parts[0]
-        length = pa.array(np.full(len(found.counts), len(parts), np.int32))
-        yield [phrase, length, *map(pa.array, (found.counts, found.left, found.right))]
+def _word_hashes(lang: str, names: pa.Array) -> tuple[np.uint64, np.ndarray]:
+    hashes = [xxhash.xxh3_64_intdigest(w) for w in names.to_pylist()]
+    return np.uint64(xxhash.xxh3_64_intdigest(lang)), np.array([0, *hashes], np.uint64)
 
 
-def phrase_counts(docs: DataFrame, longest: int = LONGEST, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """(lang, phrase, words, n, with_left, with_right) of all n-grams of 1 to ``longest`` words within pieces.
+def _hashes(of_lang: np.uint64, of_word: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """A 64-bit number for every row of ``words``, the same in all shards."""
+    found = np.full(len(words), of_lang, np.uint64)
+    for i in range(words.shape[1]):
+        found = (found * ODD_1) ^ of_word[words[:, i]]
+        found = (found ^ (found >> np.uint64(32))) * ODD_2
+    return (found ^ (found >> np.uint64(29))).view(np.int64)
 
-    ``phrase`` joins its words by blanks. ``with_left`` and ``with_right`` count the occurrences that have a
-    word of the same piece before and behind them.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for langs, texts in blocks(batches, SHARD_BYTES):
-            by_lang: dict[str, list[bytes]] = {}
-            for lang, text in zip(langs.to_pylist(), texts):
-                by_lang.setdefault(lang, []).extend(tokens(text))
-            for lang, words in by_lang.items():
-                for columns in _shard(words, longest):
-                    of_lang = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(columns[0]), np.int32)))
-                    yield pa.RecordBatch.from_arrays([of_lang, *columns], ["lang", "phrase", "words", "n", "with_left", "with_right"])
-
-    source = docs.select(
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array, np.ndarray]]:
+    """(lang, names, ids) of every language of every shard."""
+    for langs, texts in blocks(batches, SHARD_BYTES):
+        by_lang: dict[str, list[str]] = {}
+        for lang, text in zip(langs.to_pylist(), texts):
+            by_lang.setdefault(lang, []).append(text)
+        del texts
+        for lang in list(by_lang):
+            names, ids = coded_words(by_lang.pop(lang))
+            if len(names):
+                yield lang, names, ids
+
+
+def _batches(columns: dict[str, pa.Array]) -> Iterator[pa.RecordBatch]:
+    whole = pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+    for start in range(0, len(whole), BATCH_ROWS):
+        yield whole.slice(start, BATCH_ROWS)
+
+
+def _source(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
+    return docs.select(
         F.coalesce(docs[f"`{lang_col}`"].cast("string"), F.lit(NO_LANG)).alias("lang"),
         F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit("")).alias("text"),
     )
-    found = source.mapInArrow(run, "lang string, phrase string, words int, n long, with_left long, with_right long")
-    return found.groupBy("lang", "phrase", "words").agg(
-        F.sum("n").alias("n"), F.sum("with_left").alias("with_left"), F.sum("with_right").alias("with_right")
+
+
+def possible_hashes(docs: DataFrame, longest: int, least: int, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """(h): the hashes of all n-grams that may occur ``least`` times. Every n-gram left out occurs less often."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, names, ids in _shards(batches):
+            hashes = _word_hashes(lang, names)
+            for found in ngrams(ids, longest):
+                enough = np.minimum(found.counts, least).astype(np.int32)  # a shard that reaches the limit alone decides
+                yield from _batches({"h": pa.array(_hashes(*hashes, found.words)), "n": pa.array(enough)})
+
+    counted = _source(docs, lang_col, text_col).mapInArrow(run, "h long, n int")
+    return counted.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h")
+
+
+def phrase_counts(
+    docs: DataFrame,
+    longest: int = LONGEST,
+    least: int = 1,
+    lang_col: str = "lang",
+    text_col: str = "text",
+    few_hashes: int = FEW_HASHES,
+) -> DataFrame:
+    """(lang, phrase, words, n, with_left, with_right) of the n-grams of 1 to ``longest`` words within pieces.
+
+    Those that occur at least ``least`` times are returned, and for every language a row of 0 words and the
+    empty phrase with the number of all its words. ``phrase`` joins its words by blanks. ``with_left`` and
+    ``with_right`` count the occurrences that have a word of the same piece before and behind them.
+    """
+    spark = docs.sparkSession
+    left_over, shared = None, None
+    if least > 1:
+        left_over, _ = stage_for_now(possible_hashes(docs, longest, least, lang_col, text_col), "phrase_hashes")
+        if left_over.count() <= few_hashes:
+            hashes = left_over.toArrow().column("h").to_numpy()
+            shared = spark.sparkContext.broadcast(np.sort(hashes))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None if shared is None else shared.value
+
+        def columns(lang: str, phrase: pa.Array, length: int, h: np.ndarray, *numbers: np.ndarray) -> dict[str, pa.Array]:
+            n = len(phrase)
+            named = {"lang": pa.array([lang], pa.string()).take(pa.array(np.zeros(n, np.int32))), "phrase": phrase.cast(pa.string())}
+            counts = dict(zip(("n", "with_left", "with_right"), map(pa.array, numbers)))
+            return {**named, "words": pa.array(np.full(n, length, np.int32)), "h": pa.array(h), **counts}
+
+        for lang, names, ids in _shards(batches):
+            hashes = _word_hashes(lang, names)
+
+            def wanted(words: np.ndarray) -> np.ndarray:
+                h = _hashes(*hashes, words)
+                if not len(kept):
+                    return np.zeros(len(h), bool)
+                return kept[np.minimum(np.searchsorted(kept, h), len(kept) - 1)] == h
+
+            total = np.array([np.count_nonzero(ids)])
+            yield from _batches(columns(lang, pa.array([""]), 0, np.zeros(1, np.int64), total, total, total))
+            for found in ngrams(ids, longest, None if kept is None else wanted):
+                size = found.words.shape[1]
+                for at in range(0, len(found.counts), BATCH_ROWS):
+                    words, *numbers = (x[at : at + BATCH_ROWS] for x in found)
+                    parts = [names.take(pa.array(words[:, i] - 1)) for i in range(size)]
+                    phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
+                    yield from _batches(columns(lang, phrase, size, _hashes(*hashes, words), *numbers))
+
+    fields = "lang string, phrase string, words int, h long, n long, with_left long, with_right long"
+    found = _source(docs, lang_col, text_col).mapInArrow(run, fields)
+    if left_over is not None and shared is None:
+        found = found.where("words > 0").join(left_over, "h", "left_semi").unionByName(found.where("words = 0"))
+    return (
+        found.groupBy("lang", "phrase", "words")
+        .agg(F.sum("n").alias("n"), F.sum("with_left").alias("with_left"), F.sum("with_right").alias("with_right"))
+        .where((F.col("n") >= least) | (F.col("words") == 0))
     )
 
 
@@ -165,17 +270,16 @@ def collocations(
     that holds it has at least ``share`` percent of its occurrences. Ranked by score, a, and phrase. The
     candidates of a language are cut to the first ``top`` in every task before they meet.
     """
-    # Only frequent n-grams and the totals of the languages stay: a part occurs as often as its phrase.
-    counted = phrase_counts(docs, longest, lang_col, text_col).select("lang", "phrase", "words", "n")
-    kept, _ = stage_for_now(counted.where((F.col("n") >= least) | (F.col("words") == 1)), "phrases")
-    totals = kept.where("words = 1").groupBy("lang").agg(F.sum("n").alias("total"))
-    frequent = kept.where(F.col("n") >= least)
+    # A part occurs at least as often as its phrase, so the frequent n-grams hold all parts.
+    counted = phrase_counts(docs, longest, least, lang_col, text_col).select("lang", "phrase", "words", "n")
+    kept, _ = stage_for_now(counted, "phrases")
+    totals = kept.where("words = 0").select("lang", F.col("n").alias("total"))
+    frequent = kept.where("words > 0")
     whole = frequent.where("words > 1").select("lang", "phrase", "words", F.col("n").alias("a"), F.split("phrase", " ").alias("w"))
 
     def part(first, size):
         return F.array_join(F.slice("w", first, size), " ")
 
-    # One row per part that is asked for: the two sides of every cut, and every shorter phrase inside.
     cut = F.explode(F.sequence(F.lit(1), F.col("words") - 1))
     cuts = whole.select("lang", "phrase", "a", "words", "w", cut.alias("k"))
     count = frequent.select("lang", F.col("phrase").alias("part"), F.col("n").alias("of_part"))

@@ -337,7 +337,8 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """(id, n_assign, n_access, n_hex, base_sha256, spans, n_decoded): counts and digest of what the text itself holds, all spans."""
     found = find_secrets(docs, id_col, text_col)
     base = F.filter("spans", lambda s: s["depth"] == 0)
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select(
         id_col, *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"),
         F.size(F.filter("spans", lambda s: s["depth"] > 0)).cast("long").alias("n_decoded"),

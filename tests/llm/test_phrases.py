@@ -26,15 +26,19 @@ def plain_counts(rows, longest=3):
         for w in pieces(text):
             for size in range(1, longest + 1):
                 for i in range(len(w) - size + 1):
-                    key = (lang or "und" if lang is None else lang, " ".join(w[i : i + size]), size)
+                    key = ("und" if lang is None else lang, " ".join(w[i : i + size]), size)
                     counts[key] += 1
                     left[key] += i > 0
                     right[key] += i + size < len(w)
-    return {k: (n, left[k], right[k]) for k, n in counts.items()}
+    out = {k: (n, left[k], right[k]) for k, n in counts.items()}
+    totals = Counter()
+    for (lang, _, size), (n, *_) in out.items():
+        totals[lang] += n * (size == 1)
+    return out | {(lang, "", 0): (n, n, n) for lang, n in totals.items()}
 
 
 def plain_collocations(rows, longest=3, least=10, top=2000, share=50):
-    f = {(lang, p): n for (lang, p, _), (n, *_) in plain_counts(rows, longest).items()}
+    f = {(lang, p): n for (lang, p, size), (n, *_) in plain_counts(rows, longest).items() if size}
     total = Counter()
     for (lang, p), n in f.items():
         total[lang] += n * (" " not in p)
@@ -99,6 +103,10 @@ def test_counts_do_not_depend_on_shards(spark, monkeypatch):
         monkeypatch.setattr(ph, "SHARD_BYTES", limit)
         got = {(r.lang, r.phrase, r.words): (r.n, r.with_left, r.with_right) for r in ph.phrase_counts(docs, 4).collect()}
         assert got == want
+        frequent = {k: v for k, v in want.items() if v[0] >= 7 or not k[2]}
+        for few in (0, ph.FEW_HASHES):  # joined, broadcast
+            got = {(r.lang, r.phrase, r.words): (r.n, r.with_left, r.with_right) for r in ph.phrase_counts(docs, 4, 7, few_hashes=few).collect()}
+            assert got == frequent
 
 
 @pytest.mark.parametrize("options", [{}, {"least": 2}, {"least": 3, "longest": 4, "share": 30}, {"least": 2, "top": 5}])
@@ -118,6 +126,14 @@ def test_odd_rows(spark):
     assert ph.collocations(spark.createDataFrame([], SCHEMA), lang_col="source").count() == 0
 
 
+def test_words_of_many_ids_are_ranked_again():
+    rnd = np.random.default_rng(4)
+    ids = np.append(rnd.integers(0, 2**20, 3000) * (rnd.random(3000) < 0.9), 0)
+    _, small = np.unique(ids, return_inverse=True)
+    a, b = ph.FMIndex(ids, 5), ph.FMIndex(small, 5)
+    assert (np.unique(ids)[b.bwt] == a.bwt).mean() > 0.99  # only rows alike in five words may swap places
+
+
 def test_products_beyond_64_bits(spark):
     score = spark.sql(
         "SELECT (1000000 * (CAST(a AS DECIMAL(16, 0)) * CAST(a AS DECIMAL(16, 0)))) DIV (CAST(l AS DECIMAL(16, 0)) * CAST(r AS DECIMAL(16, 0)))"
