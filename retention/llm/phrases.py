@@ -8,10 +8,11 @@ are counted there. Rows are sorted by as many words as the longest n-gram has: t
 up to that length are the same as with whole suffixes.
 
 The shards' counts are added up by language and n-gram. Most n-grams are rare, so where only frequent
-ones are asked for, a first pass adds up counts by a 64-bit hash of the n-gram: a sum below the limit
-proves that the n-gram is rare. The second pass extends only what is left and sends words. Two n-grams
-of one hash may both be left over and fall at their own counts. The hashes left are broadcast after they
-were counted (at most ``FEW_HASHES``); more of them are joined by their hash.
+ones are asked for, a first pass adds up the counts of words and pairs by a 64-bit hash: a sum below the
+limit proves that a word or pair is rare, and with it every n-gram that holds it. The second pass extends
+only what is left, by pairs that are left, and sends words. Two pairs of one hash may both be left over
+and fall at their own counts. The hashes left are broadcast after they were counted (at most
+``FEW_HASHES``); if there are more, n-grams are joined by the hash of their first pair.
 
 A null language counts as ``und``; a null or empty text has no words; repeated rows and rows of equal id
 count each; an empty table gives an empty table. Columns other than the language and the text are not
@@ -36,6 +37,8 @@ from retention.sources.staging import broadcast_if_small, stage_for_now
 SHARD_BYTES = 8_000_000
 BATCH_ROWS = 50_000
 FEW_HASHES = 8_000_000
+SIEVED = 2
+SALTS = 64
 NO_LANG = "und"
 LONGEST, LEAST, TOP, SHARE = 3, 10, 2000, 50
 #: Lower-cases A-Z, makes the ends of pieces full stops and tabs blanks; a full stop is then never part of a word.
@@ -179,13 +182,13 @@ def _source(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     )
 
 
-def possible_hashes(docs: DataFrame, longest: int, least: int, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """(h): the hashes of all n-grams that may occur ``least`` times. Every n-gram left out occurs less often."""
+def possible_hashes(docs: DataFrame, least: int, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """(h): the hashes of all words and pairs that may occur ``least`` times. Those left out occur less often."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, names, ids in _shards(batches):
             hashes = _word_hashes(lang, names)
-            for found in ngrams(ids, longest):
+            for found in ngrams(ids, SIEVED):
                 enough = np.minimum(found.counts, least).astype(np.int32)  # a shard that reaches the limit alone decides
                 yield from _batches({"h": pa.array(_hashes(*hashes, found.words)), "n": pa.array(enough)})
 
@@ -210,7 +213,7 @@ def phrase_counts(
     spark = docs.sparkSession
     left_over, shared = None, None
     if least > 1:
-        left_over, _ = stage_for_now(possible_hashes(docs, longest, least, lang_col, text_col), "phrase_hashes")
+        left_over, _ = stage_for_now(possible_hashes(docs, least, lang_col, text_col), "phrase_hashes")
         if left_over.count() <= few_hashes:
             hashes = left_over.toArrow().column("h").to_numpy()
             shared = spark.sparkContext.broadcast(np.sort(hashes))
@@ -228,7 +231,7 @@ def phrase_counts(
             hashes = _word_hashes(lang, names)
 
             def wanted(words: np.ndarray) -> np.ndarray:
-                h = _hashes(*hashes, words)
+                h = _hashes(*hashes, words[:, :SIEVED])  # the pairs behind the first one were looked up before
                 if not len(kept):
                     return np.zeros(len(h), bool)
                 return kept[np.minimum(np.searchsorted(kept, h), len(kept) - 1)] == h
@@ -241,7 +244,7 @@ def phrase_counts(
                     words, *numbers = (x[at : at + BATCH_ROWS] for x in found)
                     parts = [names.take(pa.array(words[:, i] - 1)) for i in range(size)]
                     phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
-                    yield from _batches(columns(lang, phrase, size, _hashes(*hashes, words), *numbers))
+                    yield from _batches(columns(lang, phrase, size, _hashes(*hashes, words[:, :SIEVED]), *numbers))
 
     fields = "lang string, phrase string, words int, h long, n long, with_left long, with_right long"
     found = _source(docs, lang_col, text_col).mapInArrow(run, fields)
@@ -268,7 +271,7 @@ def collocations(
     A phrase of 2 to ``longest`` words that occurs at least ``least`` times (a) is cut in two; the cut of the
     lowest score floor(1,000,000 a^2 / (l r)) counts, the first on a tie. A phrase goes if a longer candidate
     that holds it has at least ``share`` percent of its occurrences. Ranked by score, a, and phrase. The
-    candidates of a language are cut to the first ``top`` in every task before they meet.
+    candidates of a language are cut to the first ``top`` of every salted part before they meet.
     """
     # A part occurs at least as often as its phrase, so the frequent n-grams hold all parts.
     counted = phrase_counts(docs, longest, least, lang_col, text_col).select("lang", "phrase", "words", "n")
@@ -306,8 +309,12 @@ def collocations(
     free = scored.join(inner, ["lang", "phrase"], "left").where(
         F.col("longer").isNull() | (100 * F.col("longer") < share * F.col("a"))
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = free.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    # A language's first phrases are among the first of its salted parts, so no task sorts a whole language.
+    salted = free.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    of_part = F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))
+    first = salted.withColumn("place", of_part).where(F.col("place") <= top)
+    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return ranked.join(broadcast_if_small(totals), "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", F.col("total").alias("n"), "score"
     )
