@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import json
 import random
 from collections import Counter
 
@@ -121,6 +122,16 @@ def test_every_link_has_its_number(sides, libraries):
         assert (pairs.keys[number] == a * pairs.width + b).all()
 
 
+def test_the_ranked_encoder_equals_the_library(sides, libraries):
+    assert sides.fast is not None
+    long = [" " * 400_000 + "x", "x" * 400_000, "a " * 200_000, "\n" * 400_000]
+    for text in [*filter(None, odd_texts()), "I'll 'S don't\u2003\u2003x ½ Ⅷ ١٢", *long]:
+        assert sides._first(" " + text) == libraries[0].encode(" " + text, add_special_tokens=False).ids
+    other = json.loads(open(A, encoding="utf-8").read())
+    other["model"]["merges"].reverse()
+    assert al.ranked(json.dumps(other)) is None
+
+
 def test_a_batch_equals_single_texts(sides):
     texts = [t or "" for t in odd_texts()]
     widths = len(sides.a_bytes), len(sides.b_bytes)
