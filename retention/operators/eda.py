@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -227,8 +229,9 @@ def category_codes(df: DataFrame, columns: Sequence[str], id_column: str = ID_CO
 def correlation_matrix(df: DataFrame, id_column: str = ID_COLUMN) -> DataFrame:
     """(a, b, r) of the lower triangle: Pearson over the rows that have both values.
 
-    Text columns enter by their codes. Two scans whatever is missing: the means,
-    and one aggregation with the moments of every pair around them. r is null
+    Text columns enter by their codes. A scan finds the means,
+    then the moments around them: all columns without gaps share one matrix of
+    products, summed per row vector, and any other pair gets moments of its own. r is null
     where a column does not vary over the rows of its pair.
     """
     spark = df.sparkSession
@@ -237,20 +240,41 @@ def correlation_matrix(df: DataFrame, id_column: str = ID_COLUMN) -> DataFrame:
     numbers = stage(
         coded.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)).alias(f"c{i}") for i, c in enumerate(names)]), "numbers"
     )
-    means = numbers.agg(*[F.avg(c) for c in numbers.columns]).first()
+    seen = numbers.agg(F.count(F.lit(1)), *[F.avg(c) for c in numbers.columns], *[F.count(c) for c in numbers.columns]).first()
+    total, means, present = seen[0], seen[1 : len(names) + 1], seen[len(names) + 1 :]
     # Values around their mean: the sums of squares then lose no digits.
     around = [F.col(c) - F.lit(0.0 if m is None else m) for c, m in zip(numbers.columns, means)]
+    whole = [n == total for n in present]
     pairs = [(i, j) for i in range(len(names)) for j in range(i)]
-    moments = []
+    moments = {}
+    for i, x in enumerate(around):
+        if whole[i]:  # the same over the rows of every pair of columns without gaps
+            moments |= {("low", i): F.min(x), ("high", i): F.max(x)}
     for i, j in pairs:
+        if whole[i] and whole[j]:
+            continue
         both = F.col(f"c{i}").isNotNull() & F.col(f"c{j}").isNotNull()
         x, y = F.when(both, around[i]), F.when(both, around[j])
-        moments.append(F.array(F.covar_pop(x, y), F.var_pop(x), F.var_pop(y), F.min(x), F.max(x), F.min(y), F.max(y)))
-    row = numbers.agg(*moments).first() if pairs else []
+        moments["cov", i, j] = F.covar_pop(x, y)
+        for c, v in ((i, x), (j, y)):
+            moments |= {("var", c, i, j): F.var_pop(v), ("low", c, i, j): F.min(v), ("high", c, i, j): F.max(v)}
+    found = dict(zip(moments, numbers.agg(*moments.values()).first())) if pairs else {}
+    full = [i for i in range(len(names)) if whole[i]]
+    if total and len(full) > 1:
+        vectors = numbers.select(array_to_vector(F.array(*[around[i] for i in full])).alias("v"))
+        gram = Correlation.corr(vectors, "v").first()[0].toArray()
+        found |= {("r", full[a], full[b]): float(gram[a, b]) for a in range(len(full)) for b in range(a)}
     rows = []
-    for (i, j), (cov, vx, vy, x0, x1, y0, y1) in zip(pairs, row):
-        varies = cov is not None and x0 < x1 and y0 < y1
-        rows.append((names[i], names[j], min(1.0, max(-1.0, cov / math.sqrt(vx * vy))) if varies else None))
+    for i, j in pairs:
+        own = () if whole[i] and whole[j] else (i, j)
+        low, high = [[found[side, c, *own] for c in (i, j)] for side in ("low", "high")]
+        varies = None not in low and low[0] < high[0] and low[1] < high[1]
+        r = None
+        if varies and own:
+            r = found["cov", i, j] / math.sqrt(found["var", i, i, j] * found["var", j, i, j])
+        elif varies:
+            r = found["r", i, j]
+        rows.append((names[i], names[j], None if r is None else min(1.0, max(-1.0, r))))
     return spark.createDataFrame(rows, "a string, b string, r double")
 
 
