@@ -87,10 +87,11 @@ SEED = 42
 TEST_SIZE = 0.3
 CV_FOLDS = 5
 LR_PARAMS = {"C": 1.0, "max_iter": 1000, "class_weight": "balanced"}
-DT_PARAMS = {"max_depth": 5, "min_samples_leaf": 1, "class_weight": "balanced"}
+DT_PARAMS = {"max_depth": 5, "min_samples_split": 2, "min_samples_leaf": 1, "class_weight": "balanced"}
 RF_PARAMS = {
     "n_estimators": 100,
     "max_depth": 5,
+    "min_samples_split": 2,
     "min_samples_leaf": 1,
     "class_weight": "balanced",
 }
@@ -101,6 +102,7 @@ LR_GRID = {
 }
 DT_GRID = {
     "max_depth": [3, 5, 7, 10, None],
+    "min_samples_split": [2, 5, 10],
     "min_samples_leaf": [1, 2, 4],
     "criterion": ["gini", "entropy"],
     "class_weight": [None, "balanced"],
@@ -108,6 +110,7 @@ DT_GRID = {
 RF_GRID = {
     "n_estimators": [50, 100, 200],
     "max_depth": [3, 5, 7, 10, None],
+    "min_samples_split": [2, 5, 10],
     "min_samples_leaf": [1, 2, 4],
     "class_weight": [None, "balanced"],
 }

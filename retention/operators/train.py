@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DT_PARAMS, LABEL, LR_PARAMS, RF_PARAMS, SEED
+from .nested import smallest_split, without_small_splits
 from .sampling import class_counts
 from .voting import HardVote, ShareScore, SoftVote, hard_vote, predict_soft, soft_vote
 
@@ -31,7 +32,7 @@ DEFAULTS = {"lr": LR_PARAMS, "dt": DT_PARAMS, "rf": RF_PARAMS, "ensemble": {"vot
 DEEPEST = 30  # the deepest tree Spark ML grows
 MAX_BINS = 128
 # Parameter names each kind takes; any other name is refused. Without effect here: the solver, random_state of the
-# logistic regression, n_jobs and min_samples_split.
+# logistic regression and n_jobs.
 _TREE_NAMES = {"max_depth", "min_samples_leaf", "min_samples_split", "criterion", "class_weight", "random_state", "max_bins"}
 PARAMETERS = {
     "lr": {"C", "penalty", "l1_ratio", "max_iter", "tol", "class_weight", "solver", "random_state"},
@@ -129,14 +130,15 @@ def fit_base(dataset, kind, options, counts, label=LABEL, features="features") -
     if kind == "rf":
         subset = options.get("max_features", "sqrt")
         forest = {"numTrees": int(options.get("n_estimators", 100)), "featureSubsetStrategy": "all" if subset is None else str(subset)}
+    smallest = smallest_split(options.get("min_samples_split"), sum(counts.values()))
     criterion = options.get("criterion", "gini")
     if criterion == "gini":
         # The variance of a 0/1 label is half its gini impurity, so splits are the same, and a leaf's mean is its class
         # share. A classifier would merge sister leaves of one majority and lose their shares.
         learner = DecisionTreeRegressor if kind == "dt" else RandomForestRegressor
-        return share_model(learner(impurity="variance", **forest, **tree).fit(weighted))
+        return share_model(without_small_splits(learner(impurity="variance", **forest, **tree).fit(weighted), smallest))
     learner = DecisionTreeClassifier if kind == "dt" else RandomForestClassifier
-    return learner(impurity=criterion, **forest, **tree).fit(weighted)
+    return without_small_splits(learner(impurity=criterion, **forest, **tree).fit(weighted), smallest)
 
 
 def share_model(tree: Model) -> PipelineModel:

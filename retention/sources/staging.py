@@ -34,15 +34,20 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/retention/{name}-{uuid.uuid4().hex}"
 
 
-def stage_for_now(df: DataFrame, name: str, partition_by: str | None = None) -> tuple[DataFrame, Callable[[], None]]:
-    """Like ``stage``, with a function that deletes the written files once nothing reads them any more."""
-    spark = df.sparkSession
+def path_for_now(spark: SparkSession, name: str) -> tuple[str, Callable[[], None]]:
+    """A new path in the shared folder, with a function that deletes what was written there."""
     path = new_path(spark, name)
 
     def delete() -> None:
         where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
+    return path, delete
+
+
+def stage_for_now(df: DataFrame, name: str, partition_by: str | None = None) -> tuple[DataFrame, Callable[[], None]]:
+    """Like ``stage``, with a function that deletes the written files once nothing reads them any more."""
+    path, delete = path_for_now(df.sparkSession, name)
     return stage(df, name, partition_by, path), delete
 
 

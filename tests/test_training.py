@@ -158,8 +158,8 @@ def test_tree_nodes(spark, linear):
 
 def test_grid_search(linear):
     assert len(tuning.grid_points("lr", tuning.LR_GRID)) == 22
-    assert len(tuning.grid_points("dt", tuning.DT_GRID)) == 60
-    assert len(tuning.grid_points("rf", tuning.RF_GRID)) == 90
+    assert len(tuning.grid_points("dt", tuning.DT_GRID)) == 180
+    assert len(tuning.grid_points("rf", tuning.RF_GRID)) == 270
     grid = {"max_depth": [1, 4], "class_weight": [None, "balanced"]}
     model, best, results = tuning.tune_decision_tree(linear, grid, 3)
     rows = results.collect()
