@@ -6,6 +6,10 @@ counting key prefixes (two to three narrow scans of id and label), and the rows
 are tagged by comparing their own key with at most a handful of literals. The
 wide rows are never shuffled or sorted, and the outcome does not depend on the
 partitioning.
+
+Labels of many classes go through tables instead: the wanted ranks and the open
+buckets are joined to the prefix counts, and the cuts are joined to the rows.
+The order, and so the outcome, is the same.
 """
 
 from __future__ import annotations
@@ -18,10 +22,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CV_FOLDS, ID_COLUMN, LABEL, SEED, TEST_SIZE
+from ..sources.staging import broadcast_if_small, stage
+from .row_index import with_row_index
 
 PREFIX_STEP = 3  # hex digits per refinement: 4,096 buckets
 MAX_BUCKET_ROWS = 2_000_000
-MAX_CLASSES = 1_000
+FEW_CLASSES = 32  # as many become literals of the plan
 
 
 @dataclass(frozen=True)
@@ -39,11 +45,19 @@ def order_key(id_column: str = ID_COLUMN, seed: int = SEED) -> Column:
 
 
 def class_counts(df: DataFrame, label: str = LABEL) -> dict[int, int]:
-    """Rows per class. The label must be a class label, so its values are few."""
-    rows = df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    return {r[0]: r[1] for r in rows if r[0] is not None}
+    """Rows per class of a classifier's label, whose values are 0 and 1."""
+    return {r[0]: r[1] for r in df.groupBy(label).count().collect() if r[0] is not None}
+
+
+def few_class_counts(counts: DataFrame, few: int) -> dict[int, int] | None:
+    """The counts of at most ``few`` classes, None if there are more."""
+    rows = counts.limit(few + 1).collect()
+    return {r["class"]: r["n"] for r in rows} if len(rows) <= few else None
+
+
+def counts_table(df: DataFrame, label: str) -> DataFrame:
+    """(class, n) of all classes."""
+    return df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("class")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def fit_cuts(
@@ -154,6 +168,94 @@ def _at_or_before(cut: Cut, id_column: str, label: str, seed: int) -> Column:
     )
 
 
+def cut_table(
+    df: DataFrame,
+    targets: DataFrame,
+    id_column: str = ID_COLUMN,
+    label: str = LABEL,
+    seed: int = SEED,
+    max_bucket_rows: int = MAX_BUCKET_ROWS,
+) -> DataFrame:
+    """(class, rank, key, id): the cut at every rank of ``targets`` (class, n, rank), for any number of classes.
+
+    Like ``fit_cuts``, with the open buckets as a table: a level counts the rows of
+    its buckets by a longer prefix and keeps the bucket that holds the rank.
+    """
+    keyed = df.where(F.col(label).isNotNull()).select(
+        F.col(label).alias("class"), F.col(id_column).alias("id"), order_key(id_column, seed).alias("key")
+    )
+    wanted = targets.where(F.col("rank").between(1, F.col("n"))).select(
+        "class", F.lit("").alias("prefix"), "n", "rank", F.lit(0).cast("long").alias("before")
+    )
+    length, found = 0, None
+    here = F.col("rank") - F.col("before")
+    inside = (F.col("upto") >= here) & (F.col("upto") - F.col("rows") < here)
+    while True:
+        wanted = stage(wanted, "ranks")
+        last = length + PREFIX_STEP > 32
+        small = F.lit(True) if last else F.col("n") <= max_bucket_rows
+        cuts = (
+            _rows_of(keyed, wanted.where(small), length)
+            .groupBy("class", "prefix", "key", "id")
+            .agg(F.count(F.lit(1)).alias("rows"))
+            .withColumn("upto", F.sum("rows").over(Window.partitionBy("class", "prefix").orderBy("key", "id")))
+            .join(wanted.where(small), ["class", "prefix"])
+            .where(inside)
+            .select("class", "rank", "key", "id")
+        )
+        found = cuts if found is None else found.unionByName(cuts)
+        large = wanted.where(~small)
+        if large.isEmpty():
+            return found
+        length += PREFIX_STEP
+        in_bucket = Window.partitionBy("class", "prefix").orderBy("longer")  # at most 4,096 rows
+        wanted = (
+            _rows_of(keyed, large, length - PREFIX_STEP)
+            .groupBy("class", "prefix", F.substring("key", 1, length).alias("longer"))
+            .agg(F.count(F.lit(1)).alias("rows"))
+            .withColumn("upto", F.sum("rows").over(in_bucket))
+            .join(large.drop("n"), ["class", "prefix"])
+            .where(inside)
+            .select(
+                "class", F.col("longer").alias("prefix"), F.col("rows").alias("n"), "rank",
+                (F.col("before") + F.col("upto") - F.col("rows")).alias("before"),
+            )
+        )
+
+
+def _rows_of(keyed: DataFrame, buckets: DataFrame, length: int) -> DataFrame:
+    """The keyed rows of the buckets, with their prefix of ``length`` digits."""
+    wanted = broadcast_if_small(buckets.select("class", "prefix").distinct())
+    return keyed.withColumn("prefix", F.substring("key", 1, length)).join(wanted, ["class", "prefix"], "left_semi")
+
+
+def with_cuts(df: DataFrame, cuts: DataFrame, id_column: str, label: str, seed: int) -> DataFrame:
+    """Add ``__before``: how many cuts of the row's class lie before it, and ``__cuts``: how many it has."""
+    of_class = cuts.groupBy(F.col("class").alias("__class")).agg(
+        F.collect_list(F.struct("key", F.col("id").alias("last"))).alias("__list")  # one per rank of the class
+    )
+    key = order_key(id_column, seed)
+    before = F.filter("__list", lambda c: ~(
+        (key < c["key"]) | ((key == c["key"]) & F.coalesce(F.col(id_column) <= c["last"], F.lit(True)))
+    ))
+    return df.join(broadcast_if_small(of_class), F.col(label) == F.col("__class"), "left").select(
+        *df.columns,
+        F.coalesce(F.size(before), F.lit(0)).alias("__before"),
+        F.when(F.col("__list").isNull(), 0).otherwise(F.size("__list")).alias("__cuts"),
+    )
+
+
+def ranks_for_test(counts: DataFrame, test_size: float) -> DataFrame:
+    """(class, n, rank): test rows per class as ``rows_for_test`` has them, for any number of classes."""
+    exact = F.col("n") * F.lit(float(test_size))
+    shares = counts.withColumn("rank", F.floor(exact)).withColumn("short", F.col("rank") - exact)
+    total, given = shares.agg(F.sum("n"), F.sum("rank")).first()
+    missing = max(0, min(math.ceil((total or 0) * test_size), total or 0) - (given or 0))
+    return with_row_index(shares, ["short", "class"], "place").select(
+        "class", "n", (F.col("rank") + (F.col("place") < missing).cast("long")).alias("rank")
+    )
+
+
 def rows_for_test(counts: dict[int, int], test_size: float) -> dict[int, int]:
     """Test rows per class: ceil(test_size * all rows) in total, shared out by largest remainder."""
     exact = {c: n * test_size for c, n in counts.items()}
@@ -170,13 +272,21 @@ def stratified_split(
     seed: int = SEED,
     id_column: str = ID_COLUMN,
     label: str = LABEL,
+    few_classes: int = FEW_CLASSES,
     **limits,
 ) -> DataFrame:
     """Add ``split``: in every class the first rows are 'test', ceil(test_size * n) of all rows in total.
 
     Rows without a label cannot be stratified and get a null split.
     """
-    counts = class_counts(df, label)
+    table = counts_table(df, label)
+    counts = few_class_counts(table, few_classes)
+    if counts is None:
+        cuts = cut_table(df, ranks_for_test(table, test_size), id_column, label, seed, **limits)
+        in_test = (F.col("__cuts") > 0) & (F.col("__before") == 0)
+        return with_cuts(df, cuts, id_column, label, seed).select(
+            *df.columns, F.when(F.col(label).isNotNull(), F.when(in_test, "test").otherwise("train")).alias("split")
+        )
     shares = rows_for_test(counts, test_size)
     cuts = fit_cuts(df, lambda c, n: [shares[c]], id_column, label, seed, counts=counts, **limits)
     in_test = F.lit(False)
@@ -197,10 +307,20 @@ def stratified_folds(
     seed: int = SEED,
     id_column: str = ID_COLUMN,
     label: str = LABEL,
+    few_classes: int = FEW_CLASSES,
     **limits,
 ) -> DataFrame:
     """Add ``fold`` 0 … k-1: equal stretches of every class, sizes differ by at most one row."""
-    cuts = fit_cuts(df, lambda c, n: fold_ranks(n, k), id_column, label, seed, **limits)
+    table = counts_table(df, label)
+    counts = few_class_counts(table, few_classes)
+    if counts is None:
+        ranks = table.withColumn("rank", F.explode(F.expr(f"transform(sequence(1, {k} - 1), f -> n * f div {k})")))
+        cuts = cut_table(df, ranks if k > 1 else ranks.where(F.lit(False)), id_column, label, seed, **limits)
+        fold = F.col("__before") + (k - 1) - F.col("__cuts")  # ranks of 0 rows have no cut
+        return with_cuts(df, cuts, id_column, label, seed).select(
+            *df.columns, F.when(F.col(label).isNotNull(), fold).cast("int").alias("fold")
+        )
+    cuts = fit_cuts(df, lambda c, n: fold_ranks(n, k), id_column, label, seed, counts=counts, **limits)
     # A class smaller than k yields equal ranks; count how many cuts lie before the row.
     fold = F.lit(0)
     for c in sorted({cut.label for cut in cuts}):

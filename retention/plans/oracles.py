@@ -125,6 +125,15 @@ def _split(body: str, *more: str) -> str:
     return _with(body, PROFILE, CLEAN, RANKED, *more)
 
 
+PARTS = """
+lines AS (SELECT concat_ws('-', l_orderkey, l_linenumber) AS id, l_partkey AS part FROM lineitem),
+placed AS (SELECT id, part, rank() OVER (PARTITION BY part ORDER BY md5('42|' || id), id) AS place FROM lines WHERE part IS NOT NULL),
+sizes AS (SELECT part, count(*) AS n, floor(count(*) * CAST(0.3 AS DOUBLE)) AS low FROM lines WHERE part IS NOT NULL GROUP BY part),
+missing AS (SELECT ceil(sum(n) * CAST(0.3 AS DOUBLE)) - sum(low) AS m FROM sizes),
+shares AS (SELECT part, n, low + CASE WHEN row_number() OVER (ORDER BY low - n * CAST(0.3 AS DOUBLE), part) <= m THEN 1 ELSE 0 END AS share
+           FROM sizes, missing)"""
+
+
 def _scored(body: str, *more: str) -> str:
     return _with(body, PROFILE, SCORED, *more)
 
@@ -433,6 +442,11 @@ def _single_statements() -> dict[str, str]:
         # splits
         "stratified_split": _split("SELECT customerID, Churn_Binary, split FROM split"),
         "stratified_folds": _split("SELECT customerID, Churn_Binary, fold FROM folds"),
+        "split_by_many_classes": _with(
+            "SELECT id, part, CASE WHEN place <= share THEN 'test' ELSE 'train' END AS split FROM placed JOIN shares USING (part)", PARTS),
+        "folds_by_many_classes": _with(
+            "SELECT id, part, CAST(" + " + ".join(f"CASE WHEN place > n * {f} // 5 THEN 1 ELSE 0 END" for f in range(1, 5)) +
+            " AS INTEGER) AS fold FROM placed JOIN shares USING (part)", PARTS),
         "append_rows": _split(
             "SELECT customerID, tenure, Churn_Binary FROM split WHERE split = 'train' UNION ALL "
             "SELECT customerID, tenure, Churn_Binary FROM split WHERE split = 'test'"),

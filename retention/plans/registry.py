@@ -64,6 +64,12 @@ def split(spark, d, *columns):
     return sa.stratified_split(written(spark, d, *columns))
 
 
+def lines_by_part(spark, d):
+    """(id, part) of all order lines: a label with as many classes as there are parts."""
+    line = F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id")
+    return stage(spark.read.parquet(f"{d}/lineitem.parquet").select(line, F.col("l_partkey").alias("part")), "lines")
+
+
 def scored(spark, d):
     return scored_profile(customer_profile(spark, d))
 
@@ -491,6 +497,8 @@ def queries() -> dict[str, Query]:
         "select_features": lambda s, d: cl.select_existing(cleaned(s, d), SELECTED_FEATURES),
         "stratified_split": lambda s, d: split(s, d, ID_COLUMN, LABEL),
         "stratified_folds": lambda s, d: sa.stratified_folds(written(s, d, ID_COLUMN, LABEL)),
+        "split_by_many_classes": lambda s, d: sa.stratified_split(lines_by_part(s, d), id_column="id", label="part"),
+        "folds_by_many_classes": lambda s, d: sa.stratified_folds(lines_by_part(s, d), id_column="id", label="part"),
         "append_rows": lambda s, d: (lambda t: sa.append_rows(
             t.where(F.col("split") == "train").drop("split"), t.where(F.col("split") == "test").drop("split")
         ))(split(s, d, ID_COLUMN, "tenure", LABEL)),

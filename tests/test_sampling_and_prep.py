@@ -30,20 +30,24 @@ def by_hand(n, cut):
     return out
 
 
+@pytest.mark.parametrize("few_classes", [32, 0])
 @pytest.mark.parametrize("max_bucket_rows", [10_000, 50, 1])
-def test_split_is_exact_and_independent_of_partitions(spark, max_bucket_rows):
+def test_split_is_exact_and_independent_of_partitions(spark, max_bucket_rows, few_classes):
     counts = sa.class_counts(labelled(spark))
     shares = {counts[c]: q for c, q in sa.rows_for_test(counts, 0.3).items()}
     want = by_hand(3000, lambda r, n: "test" if r <= shares[n] else "train")
     for parts in (1, 7):
-        rows = sa.stratified_split(labelled(spark, parts=parts), max_bucket_rows=max_bucket_rows).collect()
+        rows = sa.stratified_split(
+            labelled(spark, parts=parts), few_classes=few_classes, max_bucket_rows=max_bucket_rows
+        ).collect()
         assert {r.customerID: r.split for r in rows} == want
 
 
+@pytest.mark.parametrize("few_classes", [32, 0])
 @pytest.mark.parametrize("max_bucket_rows", [10_000, 1])
-def test_folds(spark, max_bucket_rows):
+def test_folds(spark, max_bucket_rows, few_classes):
     want = by_hand(3000, lambda r, n: sum(r > n * f // 5 for f in range(1, 5)))
-    rows = sa.stratified_folds(labelled(spark), 5, max_bucket_rows=max_bucket_rows).collect()
+    rows = sa.stratified_folds(labelled(spark), 5, few_classes=few_classes, max_bucket_rows=max_bucket_rows).collect()
     assert {r.customerID: r.fold for r in rows} == want
     sizes = {}
     for r in rows:
@@ -53,23 +57,51 @@ def test_folds(spark, max_bucket_rows):
         assert max(of_class) - min(of_class) <= 1
 
 
-def test_folds_of_a_tiny_class(spark):
+@pytest.mark.parametrize("few_classes", [32, 0])
+def test_folds_of_a_tiny_class(spark, few_classes):
     df = spark.createDataFrame([(i, int(i < 2)) for i in range(20)], "customerID long, Churn_Binary int")
-    rows = sa.stratified_folds(df, 5).collect()
+    rows = sa.stratified_folds(df, 5, few_classes=few_classes).collect()
     tiny = [r.fold for r in rows if r.Churn_Binary == 1]
     assert len(tiny) == 2 and len(set(tiny)) == 2
     assert all(0 <= r.fold < 5 for r in rows)
 
 
-def test_split_with_missing_label_and_copies_of_one_id(spark):
+@pytest.mark.parametrize("few_classes", [32, 0])
+def test_split_with_missing_label_and_copies_of_one_id(spark, few_classes):
     rows = [(i, 0) for i in range(50)] + [(99, 1)] * 40 + [(i, 1) for i in range(100, 120)] + [(200, None)]
     df = spark.createDataFrame(rows, "customerID long, Churn_Binary int")
-    out = sa.stratified_split(df, max_bucket_rows=5).collect()
+    out = sa.stratified_split(df, few_classes=few_classes, max_bucket_rows=5).collect()
     assert len(out) == len(rows)
     assert len({r.split for r in out if r.customerID == 99}) == 1
     assert [r.split for r in out if r.customerID == 200] == [None]
 
 
+def test_two_thousand_classes(spark):
+    """Classes of one to three rows and one that holds most; text labels."""
+    label = F.when(F.col("id") < 4000, (F.col("id") * F.col("id") % 2003).cast("string")).otherwise("hot")
+    df = spark.range(9000).select(F.col("id").alias("customerID"), label.alias("Churn_Binary"))
+    ids = {}
+    for r in df.collect():
+        ids.setdefault(r.Churn_Binary, []).append(r.customerID)
+    shares = sa.rows_for_test({c: len(v) for c, v in ids.items()}, 0.3)
+    test, fold = {}, {}
+    for c, v in ids.items():
+        v.sort(key=lambda i: (hashlib.md5(f"42|{i}".encode()).hexdigest(), i))
+        for rank, i in enumerate(v, start=1):
+            test[i] = "test" if rank <= shares[c] else "train"
+            fold[i] = sum(rank > len(v) * f // 5 for f in range(1, 5))
+    assert len(ids) > 1000
+    assert {r.customerID: r.split for r in sa.stratified_split(df, max_bucket_rows=100).collect()} == test
+    assert {r.customerID: r.fold for r in sa.stratified_folds(df, 5, max_bucket_rows=100).collect()} == fold
+
+
+def test_no_rows_at_all(spark):
+    df = spark.createDataFrame([], "customerID long, Churn_Binary int")
+    for few in (32, 0):
+        assert sa.stratified_split(df, few_classes=few).collect() == []
+        assert sa.stratified_folds(df, 5, few_classes=few).collect() == []
+
+
 def test_append_keeps_duplicates(spark):
     a = spark.createDataFrame([(1, 2)], "x int, y int")
     b = spark.createDataFrame([(2, 1), (2, 1)], "y int, x int")
