@@ -444,6 +444,13 @@ def _single_statements() -> dict[str, str]:
         "stratified_folds": _split("SELECT customerID, Churn_Binary, fold FROM folds"),
         "split_by_many_classes": _with(
             "SELECT id, part, CASE WHEN place <= share THEN 'test' ELSE 'train' END AS split FROM placed JOIN shares USING (part)", PARTS),
+        "one_hot_wide": _with(
+            "SELECT id, CASE WHEN place <= share THEN 'test' ELSE 'train' END AS split, (SELECT CAST(count(*) - 1 AS INTEGER) FROM codes) AS size, "
+            "CASE WHEN code > 0 THEN code - 1 END AS place, CASE WHEN code > 0 THEN 1 ELSE 0 END AS entries "
+            "FROM placed JOIN shares USING (part) LEFT JOIN codes ON codes.v = CAST(part AS VARCHAR)",
+            PARTS, """
+codes AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS code FROM (
+    SELECT DISTINCT CAST(part AS VARCHAR) AS v FROM placed JOIN shares USING (part) WHERE place > share))"""),
         "folds_by_many_classes": _with(
             "SELECT id, part, CAST(" + " + ".join(f"CASE WHEN place > n * {f} // 5 THEN 1 ELSE 0 END" for f in range(1, 5)) +
             " AS INTEGER) AS fold FROM placed JOIN shares USING (part)", PARTS),

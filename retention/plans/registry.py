@@ -141,7 +141,7 @@ def saved_and_loaded(spark, d):
 # --- cleaning and features ------------------------------------------------------
 def contract_dummies(spark, d):
     table = cleaned(spark, d)
-    values = [r[0] for r in table.select("Contract").distinct().orderBy("Contract").collect()]
+    values = prep.Preprocessor(categorical=["Contract"], numerical=[]).fit(table).statistics["categorical"][0]["categories"]
     return fe.fixed_domain_dummies(table, "Contract", values, "Contract"), values
 
 
@@ -215,6 +215,17 @@ def one_hot(spark, d):
     return _encoded_long(split(spark, d), prep.Preprocessor(numerical=[]))
 
 
+def one_hot_wide(spark, d):
+    """Place of the one entry of every line's sparse vector over all parts, fitted on the training lines."""
+    lines = stage(sa.stratified_split(lines_by_part(spark, d), id_column="id", label="part"), "lines")
+    fitted = prep.Preprocessor(categorical=["part"], numerical=[], wideFrom=2).fit(_train(lines))
+    vector = F.unwrap_udt("features")
+    return fitted.transform(lines).select(
+        "id", "split", vector["size"].alias("size"), F.get(vector["indices"], F.lit(0)).alias("place"),
+        F.size(vector["indices"]).alias("entries"),
+    )
+
+
 def column_transformer(spark, d):
     return rounded(prep.fitted_statistics(prep.Preprocessor().fit(_train(split(spark, d))), spark))
 
@@ -519,6 +530,7 @@ def queries() -> dict[str, Query]:
         "standard_scale": standard_scale,
         "mode_impute": mode_impute,
         "one_hot": one_hot,
+        "one_hot_wide": one_hot_wide,
         "column_transformer": column_transformer,
         "fit_and_encode": fit_and_encode,
         "data_job": data_job,

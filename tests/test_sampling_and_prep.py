@@ -192,3 +192,45 @@ def test_categories_with_quotes_and_extreme_numbers(spark):
     for v in values:
         assert [n for n in names[1:] if rows[v][n] == 1.0] == ([] if v == min(values) else [f"t_{v}"])
     assert abs(sum(r.n for r in rows.values())) < 1e-9
+
+
+def test_wide_columns_are_sparse_and_equal_narrow_ones(spark, tmp_path):
+    df = spark.range(600).select(
+        F.col("id"),
+        (F.col("id") % 7).cast("double").alias("n"),
+        F.when(F.col("id") % 50 == 0, None).otherwise((F.col("id") * F.col("id") % 211).cast("string")).alias("many"),
+        F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("two"),
+        F.concat(F.lit("it's \\ "), (F.col("id") % 90).cast("string")).alias("odd"),
+    )
+    new = spark.createDataFrame([(1000, None, "never", "b", None), (1001, 1.0, "0", None, "x")], "id long, n double, many string, two string, odd string")
+    columns = {"categorical": ["many", "two", "odd"], "numerical": ["n"]}
+    narrow = prep.Preprocessor(**columns).fit(df)
+    wide = prep.Preprocessor(**columns, wideFrom=80).fit(df)
+    assert set(wide.wide) == {"many", "odd"} and not narrow.wide
+    assert wide.feature_names == narrow.feature_names
+    assert len(wide.getOrDefault("fitted")) < 1000 < len(narrow.getOrDefault("fitted"))
+    wide.write().overwrite().save(str(tmp_path / "prep"))
+    again = prep.PreprocessorModel.load(str(tmp_path / "prep"))
+    assert again.dictionary_path.startswith(str(tmp_path))
+    every = df.unionByName(new)
+    want = {r.id: list(r.features.toArray()) for r in narrow.transform(every).collect()}
+    for model in (wide, again):
+        out = model.transform(every)
+        assert out.columns == [*every.columns, "features"]
+        assert {r.id: list(r.features.toArray()) for r in out.collect()} == want
+    encoded = wide.encode(every, ["id"])
+    assert encoded.columns == ["id", "n", "two_b", "many_vector", "odd_vector"]
+    assert encoded.count() == 602
+
+
+def test_plan_does_not_grow_with_the_categories(spark):
+    def size(n):
+        df = spark.range(n).select(F.col("id").cast("string").alias("c"))
+        model = prep.Preprocessor(categorical=["c"], numerical=[]).fit(df)
+        assert fitted_size(model) == n - 1
+        return len(model.transform(df)._jdf.queryExecution().optimizedPlan().toString())
+
+    def fitted_size(model):
+        return sum(n - 1 for n in model.wide.values())
+
+    assert abs(size(2_000) - size(20_000)) < 200
