@@ -47,17 +47,19 @@ class BoostedTrees(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     rounds = Param(Params._dummy(), "rounds", "number of trees", TypeConverters.toInt)
     learningRate = Param(Params._dummy(), "learningRate", "step size", TypeConverters.toFloat)
     maxDepth = Param(Params._dummy(), "maxDepth", "depth of a tree", TypeConverters.toInt)
+    maxBins = Param(Params._dummy(), "maxBins", "bins of a feature", TypeConverters.toInt)
     stageEvery = Param(Params._dummy(), "stageEvery", "rounds between written tables", TypeConverters.toInt)
     featuresCol = Param(Params._dummy(), "featuresCol", "vector column", TypeConverters.toString)
     labelCol = Param(Params._dummy(), "labelCol", "0/1 column", TypeConverters.toString)
 
     @keyword_only
     def __init__(
-        self, *, rounds=50, learningRate=1.0, maxDepth=3, stageEvery=5, featuresCol="features", labelCol=LABEL
+        self, *, rounds=50, learningRate=1.0, maxDepth=3, maxBins=MAX_BINS, stageEvery=5, featuresCol="features",
+        labelCol=LABEL,
     ):
         super().__init__()
         self._setDefault(
-            rounds=50, learningRate=1.0, maxDepth=3, stageEvery=5, featuresCol="features", labelCol=LABEL
+            rounds=50, learningRate=1.0, maxDepth=3, maxBins=MAX_BINS, stageEvery=5, featuresCol="features", labelCol=LABEL
         )
         self._set(**self._input_kwargs)
 
@@ -76,7 +78,7 @@ class BoostedTrees(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         # A regression tree on the 0/1 label keeps the class share of every leaf.
         tree = DecisionTreeRegressor(
             maxDepth=get(self.maxDepth),
-            maxBins=MAX_BINS,
+            maxBins=get(self.maxBins),
             seed=SEED,
             weightCol="weight",
             predictionCol="share",
@@ -115,8 +117,8 @@ class BoostedTrees(Estimator, DefaultParamsReadable, DefaultParamsWritable):
 
 def train_boosted(
     df: DataFrame, rounds: int = 50, learning_rate: float = 1.0, max_depth: int = 3, label: str = LABEL,
-    features: str = "features",
+    features: str = "features", max_bins: int = MAX_BINS,
 ) -> PipelineModel:
     return BoostedTrees(
-        rounds=rounds, learningRate=learning_rate, maxDepth=max_depth, labelCol=label, featuresCol=features
+        rounds=rounds, learningRate=learning_rate, maxDepth=max_depth, maxBins=max_bins, labelCol=label, featuresCol=features
     ).fit(df)

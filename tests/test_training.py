@@ -273,3 +273,9 @@ def test_contents_of_the_written_tables(spark, sf_dir):
         counts = {r["table_name"]: r["n_rows"] for r in registry.queries()[job](spark, sf_dir).collect()}
         assert Counter(r["table_name"] for r in rows) == Counter({name: n for name, n in counts.items() if n})
         assert all(r["row"].startswith("{") for r in rows)
+
+
+def test_boosting_takes_a_number_of_bins(stripes):
+    """Stripes of a quarter need more cuts than two bins offer."""
+    coarse, fine = (accuracy(boosting.train_boosted(stripes, 2, max_bins=b), stripes) for b in (2, 256))
+    assert coarse < 0.8 and fine > 0.95
