@@ -12,7 +12,8 @@ ones are asked for, a first pass adds up the counts of words and pairs by a 64-b
 limit proves that a word or pair is rare, and with it every n-gram that holds it. The second pass extends
 only what is left, by pairs that are left, and sends words. Two pairs of one hash may both be left over
 and fall at their own counts. The hashes left are broadcast after they were counted (at most
-``FEW_HASHES``); if there are more, n-grams are joined by the hash of their first pair.
+``FEW_HASHES``); if there are more, they set the bits of a bitmap that Spark puts together, and the bitmap
+of at most ``MOST_BITS`` is broadcast. A rare pair that meets a set bit falls at its own count, too.
 
 A null language counts as ``und``; a null or empty text has no words; repeated rows and rows of equal id
 count each; an empty table gives an empty table. Columns other than the language and the text are not
@@ -37,6 +38,7 @@ from retention.sources.staging import broadcast_if_small, stage_for_now
 SHARD_BYTES = 8_000_000
 BATCH_ROWS = 50_000
 FEW_HASHES = 8_000_000
+BITS_PER_HASH, LEAST_BITS, MOST_BITS = 16, 1 << 15, 1 << 29  # powers of two, 4 kB to 64 MB
 SIEVED = 2
 SALTS = 64
 NO_LANG = "und"
@@ -196,6 +198,25 @@ def possible_hashes(docs: DataFrame, least: int, lang_col: str = "lang", text_co
     return counted.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h")
 
 
+def bitmap(hashes: DataFrame, count: int) -> np.ndarray:
+    """The bytes of a bitmap in which the low bits of every hash (h) name a set bit."""
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (count * BITS_PER_HASH - 1).bit_length()))
+    slot = F.col("h").bitwiseAND(F.lit(bits - 1)) + 1  # the functions count from 1, in blocks of 32,768 bits
+    placed = hashes.select(F.bitmap_bucket_number(slot).alias("block"), F.bitmap_bit_position(slot).alias("place"))
+    # Dealt before they are added up, so no task holds more than its blocks.
+    found = placed.repartition("block").groupBy("block").agg(F.bitmap_construct_agg("place").alias("bits")).toArrow()
+    whole = np.zeros((bits // LEAST_BITS, LEAST_BITS // 8), np.uint8)
+    for block, held in zip(found["block"].to_pylist(), found["bits"].to_pylist()):
+        whole[block - 1] = np.frombuffer(held, np.uint8)
+    return whole.reshape(-1)
+
+
+def set_in(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes meet a set bit."""
+    slot = hashes & (len(bits) * 8 - 1)
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def phrase_counts(
     docs: DataFrame,
     longest: int = LONGEST,
@@ -211,12 +232,14 @@ def phrase_counts(
     ``with_right`` count the occurrences that have a word of the same piece before and behind them.
     """
     spark = docs.sparkSession
-    left_over, shared = None, None
+    shared, exact = None, True
     if least > 1:
-        left_over, _ = stage_for_now(possible_hashes(docs, least, lang_col, text_col), "phrase_hashes")
-        if left_over.count() <= few_hashes:
-            hashes = left_over.toArrow().column("h").to_numpy()
-            shared = spark.sparkContext.broadcast(np.sort(hashes))
+        left_over, delete = stage_for_now(possible_hashes(docs, least, lang_col, text_col), "phrase_hashes")
+        count = left_over.count()
+        exact = count <= few_hashes
+        held = np.sort(left_over.toArrow().column("h").to_numpy()) if exact else bitmap(left_over, count)
+        shared = spark.sparkContext.broadcast(held)
+        delete()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = None if shared is None else shared.value
@@ -232,6 +255,8 @@ def phrase_counts(
 
             def wanted(words: np.ndarray) -> np.ndarray:
                 h = _hashes(*hashes, words[:, :SIEVED])  # the pairs behind the first one were looked up before
+                if not exact:
+                    return set_in(kept, h)
                 if not len(kept):
                     return np.zeros(len(h), bool)
                 return kept[np.minimum(np.searchsorted(kept, h), len(kept) - 1)] == h
@@ -248,8 +273,6 @@ def phrase_counts(
 
     fields = "lang string, phrase string, words int, h long, n long, with_left long, with_right long"
     found = _source(docs, lang_col, text_col).mapInArrow(run, fields)
-    if left_over is not None and shared is None:
-        found = found.where("words > 0").join(left_over, "h", "left_semi").unionByName(found.where("words = 0"))
     return (
         found.groupBy("lang", "phrase", "words")
         .agg(F.sum("n").alias("n"), F.sum("with_left").alias("with_left"), F.sum("with_right").alias("with_right"))

@@ -109,6 +109,24 @@ def test_counts_do_not_depend_on_shards(spark, monkeypatch):
             assert got == frequent
 
 
+def test_many_hashes_are_a_bitmap(spark, monkeypatch):
+    rnd = np.random.default_rng(5)
+    hashes = rnd.integers(-(2**63), 2**63 - 1, 3000)
+    table = spark.createDataFrame([(int(h),) for h in hashes], "h long").repartition(4)
+    bits = ph.bitmap(table, 3000)
+    assert len(bits) * 8 == 1 << 16 and ph.set_in(bits, hashes).all()
+    assert ph.set_in(bits, rnd.integers(-(2**63), 2**63 - 1, 20_000)).mean() < 0.06
+    monkeypatch.setattr(ph, "MOST_BITS", ph.LEAST_BITS)  # a fuller bitmap keeps more rare ones, and loses none
+    assert len(ph.bitmap(table, 3000)) * 8 == ph.LEAST_BITS and ph.set_in(ph.bitmap(table, 3000), hashes).all()
+
+
+def test_many_hashes_hold_rare_words_back(spark, monkeypatch):
+    docs = spark.createDataFrame([("en", f"the cat w{i} sat x{i} y{i}") for i in range(500)], "lang string, text string").repartition(3)
+    found = ph.phrase_counts(docs, 3, 7, few_hashes=0)
+    assert "Join" not in found._jdf.queryExecution().toString()  # not joined behind a shuffle of all n-grams
+    assert {r.phrase: r.n for r in found.collect()} == {"": 3000, "the": 500, "cat": 500, "sat": 500, "the cat": 500}
+
+
 @pytest.mark.parametrize("options", [{}, {"least": 2}, {"least": 3, "longest": 4, "share": 30}, {"least": 2, "top": 5}])
 def test_collocations(spark, options):
     rows = texts(2)
