@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CV_FOLDS, ID_COLUMN, LABEL, SEED, TEST_SIZE
-from ..sources.staging import broadcast_if_small, stage
+from ..sources.staging import broadcast_if_small, stage, tasks_for
 from .row_index import with_row_index
 
 PREFIX_STEP = 3  # hex digits per refinement: 4,096 buckets
@@ -179,7 +179,8 @@ def cut_table(
     """(class, rank, key, id): the cut at every rank of ``targets`` (class, n, rank), for any number of classes.
 
     Like ``fit_cuts``, with the open buckets as a table: a level counts the rows of
-    its buckets by a longer prefix and keeps the bucket that holds the rank.
+    its buckets by a longer prefix and keeps the bucket that holds the rank. Small
+    buckets are sorted in as many tasks as their rows need.
     """
     keyed = df.where(F.col(label).isNotNull()).select(
         F.col(label).alias("class"), F.col(id_column).alias("id"), order_key(id_column, seed).alias("key")
@@ -194,19 +195,19 @@ def cut_table(
         wanted = stage(wanted, "ranks")
         last = length + PREFIX_STEP > 32
         small = F.lit(True) if last else F.col("n") <= max_bucket_rows
+        sorted_now = wanted.where(small)
+        rows = sorted_now.select("class", "prefix", "n").distinct().agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
         cuts = (
-            _rows_of(keyed, wanted.where(small), length)
-            .groupBy("class", "prefix", "key", "id")
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .withColumn("upto", F.sum("rows").over(Window.partitionBy("class", "prefix").orderBy("key", "id")))
-            .join(wanted.where(small), ["class", "prefix"])
-            .where(inside)
+            _rows_of(keyed, sorted_now, length, tasks_for(df.sparkSession, rows))
+            .withColumn("number", F.row_number().over(Window.partitionBy("class", "prefix").orderBy("key", "id")))
+            .join(sorted_now, ["class", "prefix"])
+            .where(F.col("number") - here == 0)  # no key of the join, so the rows are not dealt again
             .select("class", "rank", "key", "id")
         )
         found = cuts if found is None else found.unionByName(cuts)
         large = wanted.where(~small)
         if large.isEmpty():
-            return found
+            return stage(found, "cuts")
         length += PREFIX_STEP
         in_bucket = Window.partitionBy("class", "prefix").orderBy("longer")  # at most 4,096 rows
         wanted = (
@@ -223,10 +224,16 @@ def cut_table(
         )
 
 
-def _rows_of(keyed: DataFrame, buckets: DataFrame, length: int) -> DataFrame:
-    """The keyed rows of the buckets, with their prefix of ``length`` digits."""
-    wanted = broadcast_if_small(buckets.select("class", "prefix").distinct())
-    return keyed.withColumn("prefix", F.substring("key", 1, length)).join(wanted, ["class", "prefix"], "left_semi")
+def _rows_of(keyed: DataFrame, buckets: DataFrame, length: int, tasks: int | None = None) -> DataFrame:
+    """The keyed rows of the buckets, with their prefix of ``length`` digits; dealt by bucket to so many ``tasks``."""
+    wanted = buckets.select("class", "prefix").distinct()
+    few = broadcast_if_small(wanted)
+    rows = keyed.withColumn("prefix", F.substring("key", 1, length))
+    if tasks is None:
+        return rows.join(few, ["class", "prefix"], "left_semi")
+    if few is wanted:  # the join needs the same deal
+        return rows.repartition(tasks, "class", "prefix").join(few, ["class", "prefix"], "left_semi")
+    return rows.join(few, ["class", "prefix"], "left_semi").repartition(tasks, "class", "prefix")
 
 
 def with_cuts(df: DataFrame, cuts: DataFrame, id_column: str, label: str, seed: int) -> DataFrame:
@@ -282,6 +289,7 @@ def stratified_split(
     table = counts_table(df, label)
     counts = few_class_counts(table, few_classes)
     if counts is None:
+        table = stage(table, "classes")
         cuts = cut_table(df, ranks_for_test(table, test_size), id_column, label, seed, **limits)
         in_test = (F.col("__cuts") > 0) & (F.col("__before") == 0)
         return with_cuts(df, cuts, id_column, label, seed).select(
@@ -314,6 +322,7 @@ def stratified_folds(
     table = counts_table(df, label)
     counts = few_class_counts(table, few_classes)
     if counts is None:
+        table = stage(table, "classes")
         ranks = table.withColumn("rank", F.explode(F.expr(f"transform(sequence(1, {k} - 1), f -> n * f div {k})")))
         cuts = cut_table(df, ranks if k > 1 else ranks.where(F.lit(False)), id_column, label, seed, **limits)
         fold = F.col("__before") + (k - 1) - F.col("__cuts")  # ranks of 0 rows have no cut

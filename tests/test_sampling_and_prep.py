@@ -9,6 +9,7 @@ from retention.operators import order_stats as os_
 from retention.operators import prep
 from retention.operators import sampling as sa
 from retention.operators.row_index import with_row_index
+from retention.sources import staging
 
 
 def labelled(spark, n=3000, parts=4):
@@ -234,3 +235,23 @@ def test_plan_does_not_grow_with_the_categories(spark):
         return sum(n - 1 for n in model.wide.values())
 
     assert abs(size(2_000) - size(20_000)) < 200
+
+
+def test_cut_search_deals_its_rows_to_tasks_by_their_number(spark, monkeypatch):
+    """Many classes: a task holds a share of the rows that does not grow with the table; the outcome stays."""
+    rows = spark.range(6000).select(F.col("id").alias("customerID"), (F.col("id") * 7919 % 60).cast("int").alias("k"))
+    rows = rows.unionByName(rows.where("customerID % 10 = 0"))  # copies fall on one side
+    want = {
+        name: sorted(map(tuple, f(rows, label="k", few_classes=100).collect()))
+        for name, f in (("split", sa.stratified_split), ("folds", sa.stratified_folds))
+    }
+    monkeypatch.setattr(staging, "ROWS_PER_TASK", 200)
+    assert staging.tasks_for(spark, 6600) == 33 and staging.tasks_for(spark, 0) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = []
+    whole = sa._rows_of
+    monkeypatch.setattr(sa, "_rows_of", lambda *a: (lambda t: dealt.append(t) or t)(whole(*a)))
+    for name, f in (("split", sa.stratified_split), ("folds", sa.stratified_folds)):
+        for limits in ({}, {"max_bucket_rows": 40}):
+            assert sorted(map(tuple, f(rows, label="k", few_classes=1, **limits).collect())) == want[name]
+    sizes = dealt[0].groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 20 and max(r["count"] for r in sizes) < 1000
