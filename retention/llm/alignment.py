@@ -282,8 +282,8 @@ def alignment_counts(
     linked, _ = stage_for_now(source.mapInArrow(link, out_schema(source, **fields)), "alignment_links")
     summed = linked.select("pairs").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     counts = np.zeros(len(pairs.keys), np.int64)  # as long as the vocabularies make it, not the corpus
-    for row in summed.toLocalIterator():
-        counts[row["pair"]] = row["n"]
+    found = summed.toArrow()  # pairs that the vocabularies allow, no more
+    counts[found["pair"].to_numpy()] = found["n"].to_numpy()
     judged = context.broadcast((counts, pairs.best(counts)))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
