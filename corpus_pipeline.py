@@ -36,8 +36,7 @@ def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, ids, decoded): the token ids of every text and the bytes that they decode to."""
-    path = public_tokenizers.path(queries.BYTE_BPE)
-    return bpe.decode(bpe.encode(docs, path), path)
+    return bpe.encode_and_decode(docs, public_tokenizers.path(queries.BYTE_BPE))
 
 
 STAGES = [

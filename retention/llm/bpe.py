@@ -230,19 +230,46 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
+def encoded_batches(batches: Iterator[pa.RecordBatch], ranks: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+    encoder = Encoder(ranks)
+    for keys, texts in blocks(batches, BLOCK_BYTES):
+        ids, ends, offsets = encoder.encode(texts)
+        yield pa.RecordBatch.from_arrays([keys, list_array(ids, offsets), list_array(ends, offsets)], ["id", "ids", "ends"])
+
+
+def decoded_batches(batches: Iterator[pa.RecordBatch], ranks: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+    tokens = sorted(ranks, key=ranks.get)
+    store = np.frombuffer(b"".join(tokens), np.uint8)
+    number = np.array([ranks[t] for t in tokens])
+    size, begin = np.zeros(number.max() + 1, np.int64), np.zeros(number.max() + 1, np.int64)
+    size[number] = [len(t) for t in tokens]
+    begin[number] = np.cumsum(size[number]) - size[number]
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 256):
+            part = batch.slice(lo, 256)
+            lists, stops = part.column(1), part.column(2)
+            ids = np.asarray(lists.flatten())
+            ends = np.asarray(stops.flatten()).astype(np.int64)
+            counts = np.asarray(lists.value_lengths())
+            lengths = size[ids]
+            last = np.cumsum(counts) - 1
+            bytes_of = np.where(counts > 0, ends[np.maximum(last, 0)] if len(ends) else 0, 0)
+            base = np.cumsum(bytes_of) - bytes_of
+            where = np.repeat(base, counts) + ends - lengths  # each token's own place
+            inside = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            out = np.empty(int(bytes_of.sum()), np.uint8)
+            out[np.repeat(where, lengths) + inside] = store[np.repeat(begin[ids], lengths) + inside]
+            raw = out.tobytes()
+            values = [raw[b : b + n] for b, n in zip(base.tolist(), bytes_of.tolist())]
+            yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(values, pa.binary())], ["id", "ids", "decoded"])
+
+
 def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids, ends): the token ids of every whole text and the byte offset at which each token ends."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(read_ranks(ranks_path))  # a vocabulary: its size doesn't grow with the data
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
-        for keys, texts in blocks(batches, BLOCK_BYTES):
-            ids, ends, offsets = encoder.encode(texts)
-            yield pa.RecordBatch.from_arrays([keys, list_array(ids, offsets), list_array(ends, offsets)], ["id", "ids", "ends"])
-
     source = two_columns(docs, id_col, text_col)
-    out = source.mapInArrow(run, out_schema(source, ids="array<int>", ends="array<int>"))
+    out = source.mapInArrow(lambda b: encoded_batches(b, shared.value), out_schema(source, ids="array<int>", ends="array<int>"))
     return out.withColumnRenamed("id", id_col)
 
 
@@ -250,41 +277,26 @@ def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id") -> DataF
     """(id, ids, decoded): the bytes that the ids stand for; every token's bytes go where its offset says."""
     spark = encoded.sparkSession
     shared = spark.sparkContext.broadcast(read_ranks(ranks_path))
+    source = encoded.select(encoded[f"`{id_col}`"].alias("id"), "ids", "ends")
+    out = source.mapInArrow(lambda b: decoded_batches(b, shared.value), out_schema(source, ids="array<int>", decoded="binary"))
+    return out.withColumnRenamed("id", id_col)
+
+
+def encode_and_decode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """What ``decode`` gives for what ``encode`` gives, by one Python worker per task instead of two."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(read_ranks(ranks_path))
+    source = two_columns(docs, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = shared.value
-        tokens = sorted(ranks, key=ranks.get)
-        store = np.frombuffer(b"".join(tokens), np.uint8)
-        number = np.array([ranks[t] for t in tokens])
-        size, begin = np.zeros(number.max() + 1, np.int64), np.zeros(number.max() + 1, np.int64)
-        size[number] = [len(t) for t in tokens]
-        begin[number] = np.cumsum(size[number]) - size[number]
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                lists, stops = part.column(1), part.column(2)
-                ids = np.asarray(lists.flatten())
-                ends = np.asarray(stops.flatten()).astype(np.int64)
-                counts = np.asarray(lists.value_lengths())
-                lengths = size[ids]
-                last = np.cumsum(counts) - 1
-                bytes_of = np.where(counts > 0, ends[np.maximum(last, 0)] if len(ends) else 0, 0)
-                base = np.cumsum(bytes_of) - bytes_of
-                where = np.repeat(base, counts) + ends - lengths  # each token's own place
-                inside = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-                out = np.empty(int(bytes_of.sum()), np.uint8)
-                out[np.repeat(where, lengths) + inside] = store[np.repeat(begin[ids], lengths) + inside]
-                raw = out.tobytes()
-                values = [raw[b : b + n] for b, n in zip(base.tolist(), bytes_of.tolist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(values, pa.binary())], ["id", "ids", "decoded"])
+        return decoded_batches(encoded_batches(batches, shared.value), shared.value)
 
-    source = encoded.select(encoded[f"`{id_col}`"].alias("id"), "ids", "ends")
     return source.mapInArrow(run, out_schema(source, ids="array<int>", decoded="binary")).withColumnRenamed("id", id_col)
 
 
 def digests(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document the number of tokens and the SHA-256 of its ids (joined by commas) and of the decoded bytes."""
-    coded = decode(encode(docs, ranks_path, id_col, text_col), ranks_path, id_col)
+    coded = encode_and_decode(docs, ranks_path, id_col, text_col)
     return coded.select(
         id_col,
         F.size("ids").cast("long").alias("n_tokens"),

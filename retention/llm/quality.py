@@ -90,8 +90,8 @@ class Features(dict):
             return (np.concatenate(grams) >> self.shift).astype(np.int64)
 
 
-def ftrl(rows: list[tuple[np.ndarray, np.ndarray, float]], size: int, intercept: float, epochs: int = EPOCHS) -> np.ndarray:
-    """Weights after ``epochs`` passes over (columns, values, label)."""
+def ftrl(rows: list[tuple[np.ndarray, np.ndarray, int, float]], size: int, intercept: float, epochs: int = EPOCHS) -> np.ndarray:
+    """Weights after ``epochs`` passes over (columns, counts, their sum, label)."""
     z, n = np.zeros(size), np.zeros(size)
 
     def weights(at):
@@ -100,8 +100,8 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray, float]], size: int, intercept:
         return np.where(np.abs(zi) <= L1, 0.0, w)
 
     for _ in range(epochs):
-        for at, x, y in rows:
-            w = weights(at)
+        for at, counts, total, y in rows:
+            w, x = weights(at), SCALE * counts.astype(np.float64) / max(1, total)
             p = 1 / (1 + np.exp(-np.clip(intercept + w @ x, -35, 35)))
             g = (p - y) * x
             step = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA
@@ -110,10 +110,11 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray, float]], size: int, intercept:
     return weights(np.arange(size))
 
 
-def vector(columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct columns and their values."""
+def vector(columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Distinct columns, how often each occurs, and the sum: in the narrowest types, since a learner holds all its rows."""
     at, counts = np.unique(columns, return_counts=True)
-    return at, SCALE * counts / max(1, len(columns))
+    narrow = [v.astype(np.min_scalar_type(int(v.max()) if len(v) else 0)) for v in (at, counts)]
+    return *narrow, len(columns)
 
 
 def train(
