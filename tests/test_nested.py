@@ -106,3 +106,12 @@ def test_grid_over_nests_equals_single_fits(noisy):
         tn, fp, fn, tp = counts_of(model, folded.where(F.col("fold") == r.fold))
         assert r.recall == tp / (tp + fn) and r.accuracy == (tp + tn) / (tp + tn + fp + fn)
     assert bare(best).depth <= 6
+
+
+@pytest.mark.parametrize("kind", ["dt", "rf"])
+@pytest.mark.parametrize("criterion", ["gini", "entropy"])
+def test_deep_trees_keep_the_node_of_every_row(noisy, kind, criterion):
+    """Else the grown trees go to every task at every level."""
+    few = {"n_estimators": 2} if kind == "rf" else {}
+    for depth, kept in ((None, True), (12, True), (5, False)):
+        assert bare(fitted(noisy, kind, max_depth=depth, criterion=criterion, **few)).getCacheNodeIds() is kept
