@@ -115,3 +115,24 @@ def test_deep_trees_keep_the_node_of_every_row(noisy, kind, criterion):
     few = {"n_estimators": 2} if kind == "rf" else {}
     for depth, kept in ((None, True), (12, True), (5, False)):
         assert bare(fitted(noisy, kind, max_depth=depth, criterion=criterion, **few)).getCacheNodeIds() is kept
+
+
+@pytest.mark.parametrize("few, tasks", [(100, 2), (10_000, None)])
+def test_tasks_of_a_fit_follow_its_rows(noisy, monkeypatch, few, tasks):
+    seen = []
+
+    def fit(dataset, *rest):
+        seen.append(dataset.rdd.getNumPartitions())
+        return tr.fit_base(dataset, *rest)
+
+    monkeypatch.setattr(tuning, "fit_base", fit)
+    monkeypatch.setattr(tuning, "TREE_ROWS", 1000)
+    monkeypatch.setattr(tuning, "FEW_ROWS", few)
+    wide = noisy.repartition(16)
+    folded = tuning.stratified_folds(wide, 2)
+    train, holdout = folded.where(F.col("fold") == 0), folded.where(F.col("fold") == 1)
+    counts = {r[0]: r[1] for r in train.groupBy("Churn_Binary").count().collect()}
+    points = tuning.grid_points("dt", {"max_depth": [2, 4]})
+    rows = tuning.nest_confusion("dt", train, holdout, points, [0, 1], counts, "Churn_Binary", "features")
+    assert sum(rows[0][c] for c in CONFUSION) == holdout.count()
+    assert seen == [tasks or train.rdd.getNumPartitions()] and train.rdd.getNumPartitions() > 2
