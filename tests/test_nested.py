@@ -1,5 +1,6 @@
 import pytest
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import SparseVector
 from pyspark.sql import functions as F
 
 from retention.operators import nested, tuning
@@ -136,3 +137,26 @@ def test_tasks_of_a_fit_follow_its_rows(noisy, monkeypatch, few, tasks):
     rows = tuning.nest_confusion("dt", train, holdout, points, [0, 1], counts, "Churn_Binary", "features")
     assert sum(rows[0][c] for c in CONFUSION) == holdout.count()
     assert seen == [tasks or train.rdd.getNumPartitions()] and train.rdd.getNumPartitions() > 2
+
+
+def test_tasks_of_a_logistic_fit_follow_its_rows(noisy, monkeypatch):
+    seen = []
+
+    def fit(dataset, kind, options, counts, *rest):
+        model = tr.fit_base(dataset, kind, options, counts, *rest)
+        seen.append((dataset.rdd.getNumPartitions(), {type(r[0]) for r in dataset.select("features").collect()}))
+        return model
+
+    monkeypatch.setattr(tuning, "fit_base", fit)
+    monkeypatch.setattr(tuning, "FIT_ROWS", 1000)
+    monkeypatch.setattr(tuning, "FEW_ROWS", 100)
+    flags = F.transform(F.sequence(F.lit(2), F.lit(12)), lambda m: (F.col("customerID") % m == 1).cast("double"))
+    vector = array_to_vector(F.concat(vector_to_array("features"), flags))
+    rows = noisy.select("customerID", "Churn_Binary", vector.alias("features")).repartition(16)
+    model, best, results = tuning.grid_search("lr", rows, {"C": [0.1, 1.0]}, 2)
+    assert len(seen) == 5 and all(n <= 2 and SparseVector in kinds for n, kinds in seen[:4])
+    assert results.count() == 4 and best["C"] in (0.1, 1.0)
+    folded = tuning.stratified_folds(rows, 2)
+    counts = {r[0]: r[1] for r in rows.groupBy("Churn_Binary").count().collect()}
+    plain = tr.fit_base(folded, "lr", {"max_iter": 1000, **best}, counts)
+    assert abs(plain.coefficients.toArray() - model.coefficients.toArray()).max() < 1e-6
