@@ -31,7 +31,7 @@ def fold_scores(
     seed: int = SEED,
     train_scores: bool = False,
     threads: int = 3,
-    fold_threads: int = 2,
+    fold_threads: int = 3,
 ) -> DataFrame:
     """Scored rows of every hold-out fold: (customerID, fold, part, model, label, p, prediction).
 

@@ -29,12 +29,15 @@ from ..operators.sampling import stratified_split
 from ..operators.thresholds import (
     best_on_grid, matrices_at, optimal_thresholds, predict_at, sweep_long, threshold_sweep,
 )
-from ..operators.train import KINDS, create_model, fit_all, has_probability, save_model, score_wide, to_long, vote_model
+from ..operators.train import (
+    KINDS, create_model, fit_all, has_probability, run_parallel, save_model, score_wide, to_long, vote_model,
+)
 from ..sources.staging import stage
 from ..sources.tables import write_predictions, write_split
 
 ENGINEERED_NUMERIC = ["service_count", "tenure_to_monthly_ratio"]
 ENGINEERED_CATEGORICAL = ["tenure_group", "service_count_group"]
+WRITERS = 4  # result tables written at a time
 
 
 @dataclass
@@ -214,11 +217,9 @@ def report_tables(scored: DataFrame, metrics: DataFrame, summary: DataFrame | No
 
 
 def write_tables(tables: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
-    """Write small result tables, one folder each."""
-    paths = {}
-    for name, table in tables.items():
-        paths[name] = f"{folder.rstrip('/')}/{name}"
-        table.write.mode("overwrite").parquet(paths[name])
+    """Write small result tables, one folder each, several at a time: each one alone leaves most cores idle."""
+    paths = {name: f"{folder.rstrip('/')}/{name}" for name in tables}
+    run_parallel([lambda n=n: tables[n].write.mode("overwrite").parquet(paths[n]) for n in tables], WRITERS)
     return paths
 
 
@@ -242,8 +243,10 @@ def run_job(raw: DataFrame, cfg: JobConfig | None = None) -> JobResult:
         raise ValueError(f"Unsupported model type: {sorted(unknown)[0]}")
     data = data_job(raw, cfg)
     model = model_job(data, cfg)
-    evaluation = evaluation_job(data, model, cfg)
-    eda = eda_tables(data.cleaned) if cfg.run_eda else {}
+    # Neither needs the other, and the fits of the folds do not fill all cores.
+    evaluation, eda = run_parallel(
+        [lambda: evaluation_job(data, model, cfg), lambda: eda_tables(data.cleaned) if cfg.run_eda else {}], 2
+    )
     report = report_tables(model.scored, model.metrics, evaluation.cv_summary)
     paths = {}
     if cfg.output_dir:

@@ -1,4 +1,6 @@
 import math
+import threading
+import types
 
 import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -279,3 +281,42 @@ def test_boosting_takes_a_number_of_bins(stripes):
     """Stripes of a quarter need more cuts than two bins offer."""
     coarse, fine = (accuracy(boosting.train_boosted(stripes, 2, max_bins=b), stripes) for b in (2, 256))
     assert coarse < 0.8 and fine > 0.95
+
+
+def test_result_tables_are_written_side_by_side(spark, tmp_path):
+    both = threading.Barrier(2, timeout=60)
+
+    class Waiting:
+        """A table whose writer waits until another one writes too."""
+
+        def __init__(self, rows):
+            self.rows, self.write = rows, self
+
+        def mode(self, how):
+            return self
+
+        def parquet(self, path):
+            both.wait()
+            self.rows.write.parquet(path)
+
+    tables = {n: Waiting(spark.range(i)) for i, n in enumerate(("none", "one", "two", "three"))}
+    paths = jobs.write_tables(tables, f"{tmp_path}/t/")
+    assert paths == {n: f"{tmp_path}/t/{n}" for n in tables}
+    assert [spark.read.parquet(p).count() for p in paths.values()] == [0, 1, 2, 3]
+
+
+def test_exploratory_tables_are_made_beside_the_evaluation(monkeypatch):
+    both = threading.Barrier(2, timeout=60)
+    part = types.SimpleNamespace(cleaned=None, scored=None, metrics=None, cv_summary=None)
+
+    def meet(value):
+        both.wait()
+        return value
+
+    monkeypatch.setattr(jobs, "data_job", lambda raw, cfg: part)
+    monkeypatch.setattr(jobs, "model_job", lambda data, cfg: part)
+    monkeypatch.setattr(jobs, "evaluation_job", lambda data, model, cfg: meet(part))
+    monkeypatch.setattr(jobs, "eda_tables", lambda table: meet({"a": table}))
+    monkeypatch.setattr(jobs, "report_tables", lambda *rows: {})
+    found = jobs.run_job(None)
+    assert found.evaluation is part and found.eda == {"a": None}
