@@ -127,6 +127,48 @@ def test_no_two_contexts_share_counts(spark, monkeypatch):
     assert np.allclose([got[i] for i in some], want, rtol=1e-5)
 
 
+def test_pairs_are_packed_without_loss(monkeypatch):
+    monkeypatch.setattr(lm_mixing, "KEYS_BLOCK", 50)
+    lines = [lm_mixing.canonical(t)[1] for t in ("the cat sat on the mat", "", "zürich äö 123", "the cat sat on the log " * 40)]
+    code = lm_mixing.Code(np.bincount(np.frombuffer(b"".join(lines), np.uint8), minlength=256))
+    pairs = lm_mixing.in_parts(lm_mixing.pair_keys, lines, code, np.uint64)
+    contexts = {(bytes(8) + line)[i : i + 9] for line in lines for i in range(len(line))}
+    symbols = {bytes(0 if b == 0 else int(code.symbol[b]) + 1 for b in c) for c in contexts}
+    distinct = np.unique(pairs)
+    assert len(pairs) == sum(map(len, lines)) and len(distinct) == len(symbols)
+    assert np.array_equal(lm_mixing.of_levels(lm_mixing.unpacked(lm_mixing.packed(*lm_mixing.levels_of(distinct)), *lm_mixing.LEVEL_KINDS)), distinct)
+    numbers, place = lm_mixing.numbered(pairs)
+    assert np.array_equal(numbers, distinct) and np.array_equal(numbers[place], pairs)
+
+
+def test_rounds_and_merged_blocks_change_no_score(spark, monkeypatch):
+    rnd = random.Random(5)
+    rows = [(i, "".join(rnd.choice("abcd ") for _ in range(rnd.choice([5, 300, 4000])))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    whole = {r["doc_id"]: r["score"] for r in lm_mixing.score_texts(docs).collect()}
+    for name, value in (("CHUNK", 20_000), ("BUCKET", 10_000), ("LEARNT_BLOCK", 5_000), ("KEYS_BLOCK", 1_000), ("MERGED", 500), ("SLICE", 64), ("WINDOW", 100)):
+        monkeypatch.setattr(lm_mixing, name, value)
+    parts = {r["doc_id"]: r["score"] for r in lm_mixing.score_texts(docs).collect()}
+    assert whole.keys() == parts.keys() and np.allclose([whole[i] for i in whole], [parts[i] for i in whole], rtol=1e-6)
+
+
+def test_no_shuffle_of_contexts_stays_on_disk(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def held():
+        found = files.getAllFiles()
+        return {str(f): f.length() for f in (found.apply(i) for i in range(found.size())) if "shuffle_" in str(f)}
+
+    rnd = random.Random(9)
+    rows = [(i, "".join(rnd.choice("abcdefgh ") for _ in range(3000))) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = held()
+    scored = lm_mixing.score_texts(docs)
+    left = sum(size for name, size in held().items() if name not in before)
+    assert left < 50_000  # 300,000 bytes of text; their contexts take far more
+    assert scored.count() == len(rows)
+
+
 def test_language_model_without_rows_or_training(spark):
     assert lm_mixing.score_texts(spark.createDataFrame([], SCHEMA)).count() == 0
     held = next(i for i in range(100) if not learns(i))
