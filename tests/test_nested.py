@@ -1,9 +1,10 @@
+import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import SparseVector
 from pyspark.sql import functions as F
 
-from retention.operators import nested, tuning
+from retention.operators import grown, nested, tuning
 from retention.operators import train as tr
 from retention.operators.metrics import CONFUSION, confusion_counts
 
@@ -160,3 +161,69 @@ def test_tasks_of_a_logistic_fit_follow_its_rows(noisy, monkeypatch):
     counts = {r[0]: r[1] for r in rows.groupBy("Churn_Binary").count().collect()}
     plain = tr.fit_base(folded, "lr", {"max_iter": 1000, **best}, counts)
     assert abs(plain.coefficients.toArray() - model.coefficients.toArray()).max() < 1e-6
+
+
+# --- trees grown by single tasks ------------------------------------------------------------------------------
+def coarse(spark, parts=3):
+    """600 labelled rows of few distinct values, and one without a label."""
+    rows = []
+    for i in range(601):
+        x = [float(i * 7919 % 11), float(i * 104729 % 13 // 6), float(i % 2)]
+        label = int((i * 31 + 7 * i // 3) % 10 < 2 + x[0] / 2 + 2 * x[1]) if i < 600 else None
+        rows.append((str(i), label, x))
+    table = spark.createDataFrame(rows, "customerID string, Churn_Binary int, x array<double>").repartition(parts)
+    return table.select("customerID", "Churn_Binary", array_to_vector("x").alias("features"))
+
+
+def searched(monkeypatch, search, table, grid, cells=grown.MOST_CELLS):
+    monkeypatch.setattr(tuning, "FEW_ROWS", 100)
+    monkeypatch.setattr(grown, "MOST_CELLS", cells)
+    return {(r["point"], r["fold"]): tuple(r)[3:] for r in search(table, grid, 2)[2].collect()}
+
+
+TREES = {"max_depth": [1, 3, None], "min_samples_split": [2, 0.1], "min_samples_leaf": [1, 6], "criterion": ["gini"], "class_weight": [None]}
+
+
+def test_trees_grown_by_a_task_are_those_of_spark_ml(spark, monkeypatch):
+    by_spark = searched(monkeypatch, tuning.tune_decision_tree, coarse(spark), TREES, 0)
+    monkeypatch.setattr(tuning, "nest_confusion", None)  # no job per level
+    assert searched(monkeypatch, tuning.tune_decision_tree, coarse(spark), TREES) == by_spark and len(by_spark) == 24
+
+
+def test_entropy_and_weighted_trees_are_close_to_those_of_spark_ml(spark, monkeypatch):
+    grid = {**TREES, "max_depth": [2], "criterion": ["gini", "entropy"], "class_weight": [None, "balanced"]}
+    by_spark = searched(monkeypatch, tuning.tune_decision_tree, coarse(spark), grid, 0)
+    by_task = searched(monkeypatch, tuning.tune_decision_tree, coarse(spark), grid)
+    assert by_task.keys() == by_spark.keys()  # splits of equal gain may differ by the rounding of weights
+    assert all(abs(a - b) < 0.1 for k in by_spark for a, b in zip(by_task[k], by_spark[k]))
+
+
+def test_forests_grown_by_tasks_do_not_depend_on_the_layout(spark, monkeypatch):
+    grid = {"n_estimators": [3, 7], "max_depth": [2, None], "min_samples_split": [2, 20], "class_weight": [None, "balanced"]}
+    monkeypatch.setattr(tuning, "nest_confusion", None)
+    whole = searched(monkeypatch, tuning.tune_random_forest, coarse(spark), grid)
+    monkeypatch.setattr(grown, "BLOCK_TREES", 2)
+    assert searched(monkeypatch, tuning.tune_random_forest, coarse(spark, 7), grid) == whole and len(whole) == 32
+
+
+def test_one_tree_with_all_features_is_a_decision_tree(spark, monkeypatch):
+    one = {"max_depth": [3], "min_samples_leaf": [2]}
+    forest = searched(monkeypatch, tuning.tune_random_forest, coarse(spark), {**one, "n_estimators": [1], "max_features": [None]})
+    assert forest == searched(monkeypatch, tuning.tune_decision_tree, coarse(spark), one)
+
+
+def test_grown_tree_counts_every_drawn_row(monkeypatch):
+    bins = np.array([[0, 0, 1, 1, 2, 2], [0, 1, 0, 1, 0, 1]], np.uint8)
+    y = np.array([0, 0, 0, 1, 1, 1], np.uint8)
+    rows = np.array([0, 0, 1, 2, 3, 4, 4, 5])
+    tree = grown.grow(bins, np.array([3, 2]), y, rows, (1.0, 1.0), 30, 1)
+    ended = grown.leaf_of(tree, bins, np.arange(6))
+    assert tree["zeros"][0] == 4 and tree["ones"][0] == 4 and tree["left"][0] == 1
+    says = grown.cut_values(tree, ended, (1.0, 1.0), False, [(0, 2), (30, 2), (30, 9)])
+    assert says[:, 0].tolist() == [0.5] * 6 and says[:, 1].tolist() == y.tolist() and says[:, 2].tolist() == [0.5] * 6
+
+
+def test_thresholds_lie_between_values_or_at_strides():
+    assert grown.thresholds(np.array([3.0, 1.0, 1.0, 2.0]), 128).tolist() == [1.5, 2.5]
+    assert grown.thresholds(np.arange(100.0), 4).tolist() == [24.5, 49.5, 74.5]
+    assert len(grown.thresholds(np.array([5.0, 5.0]), 4)) == 0
